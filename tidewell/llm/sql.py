@@ -27,6 +27,22 @@ SELECT w.doc_id, coalesce(len(w.w), 0) AS n_words, coalesce(h.n, 0) AS n_hit, co
 FROM words w LEFT JOIN hit h USING (doc_id) LEFT JOIN named n USING (doc_id)
 """
 
+OP9 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+         CAST(sum(length(role) + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) + 24) AS BIGINT) AS formatted_chars
+  FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+FROM g
+"""
+
 ORACLES: dict[str, str] = {
     "op3_decontamination": OP3,
+    "op9_chat_formatting": OP9,
 }
