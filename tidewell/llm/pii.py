@@ -103,7 +103,12 @@ def base_spans(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         needs = F.contains("text", F.lit(NEEDS[kind])) if NEEDS[kind] else F.lit(True)
         df = _places(df, f"__{kind}", BASE[kind], needs & (F.lit(True) if kind == "email" else F.col("__digit")))
     df = _places(df, "words", WORD, F.col("__digit") | F.contains("text", F.lit("@")))
-    numbered = [F.transform(F.filter(f"__{k}", lambda x, k=k: _valid(k, x["value"])), lambda x, n=n: F.struct(F.lit(n).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"))) for n, k in enumerate(KINDS)]
+
+    def valid_spans(number: int, kind: str) -> Column:
+        good = F.filter(f"__{kind}", lambda x: _valid(kind, x["value"]))
+        return F.transform(good, lambda x: F.struct(F.lit(number).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value")))
+
+    numbered = [valid_spans(n, k) for n, k in enumerate(KINDS)]
     spans = F.concat(*numbered)
     return df.select("doc_id", F.xxhash64("text").alias("text_hash"), *(["__kept"] if keep else []), spans.alias("spans"), "words")
 

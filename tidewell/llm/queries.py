@@ -56,6 +56,20 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(_table(spark, sf_dir, "pages"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    from tidewell.llm import pii
+
+    return pii.digest(pii.find(_table(spark, sf_dir, "documents")))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back."""
+    from tidewell.llm import warc
+
+    return warc.digest(warc.round_trip(_table(spark, sf_dir, "pages")))
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one with control strings in it, formatted and read back."""
     from tidewell.llm import chat
@@ -66,6 +80,49 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_records(chat.as_records(talks)))
 
 
+def list_entries(pages: DataFrame) -> DataFrame:
+    """Dated list entries for the hosts of a table of pages.
+
+    The test tables have no list, so one is derived: a host's MD5 says when it
+    and its parent domain are listed, and how.
+    """
+    from tidewell.llm import url_filter
+
+    hosts = pages.select(url_filter.host_of(F.col("url")).alias("host")).where("host IS NOT NULL").distinct()
+    marked = hosts.select("host", F.conv(F.substring(F.md5("host"), 1, 6), 16, 10).cast("long").alias("h"), F.regexp_extract("host", r"([^.]+\.[^.]+\.[^.]+)$", 1).alias("domain"))
+    start = F.lit("2024-01-01").cast("date")
+    day = lambda x: F.date_add(start, x.cast("int"))
+    h = F.col("h")
+    entry = lambda pattern, action, on: F.struct(pattern.alias("pattern"), F.lit(action).alias("action"), on.alias("listed_on"))
+    rows = F.array(
+        entry(F.when(h % 3 == 0, F.col("host")), "block", day(h % 200)),
+        entry(F.when(h % 3 == 0, F.col("host")), "allow", day(h % 200 + 60)),
+        entry(F.when((h % 5 == 1) & (F.col("domain") != ""), F.col("domain")), "review", day(h % 150)),
+        entry(F.when((h % 5 == 1) & (F.col("domain") != ""), F.col("domain")), "block", day(h % 150 + 90)),
+    )
+    return marked.select(F.explode(rows).alias("e")).select("e.*").where("pattern IS NOT NULL").distinct()
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page against the list as it stood on its fetch day.
+
+    Pages have no fetch day; day 0 to 364 of 2024 by page_id stands for it.
+    """
+    from tidewell.llm import url_filter
+
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_on", F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("page_id"), F.lit(365)).cast("int")))
+    out = url_filter.evaluate(captures, list_entries(pages))
+    return out.select("page_id", "host", F.col("fetched_on").cast("string").alias("fetched_on"), "pattern", F.col("listed_on").cast("string").alias("listed_on"), "action")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline over the documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_hmm_scoring": op2_hmm_scoring,
@@ -73,5 +130,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_simhash": op5_simhash,
     "op6_html_extraction": op6_html_extraction,
+    "op7_pii": op7_pii,
+    "op8_warc": op8_warc,
     "op9_chat_formatting": op9_chat_formatting,
+    "op10_url_filter": op10_url_filter,
+    "pipeline": pipeline,
 }

@@ -42,7 +42,45 @@ SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, CAST(length(loss) AS BIG
 FROM g
 """
 
+OP8 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS d FROM p),
+m AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY d) END AS top FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < top THEN top END AS refers_to
+FROM m
+"""
+
+OP10 = r"""
+WITH c AS (
+  SELECT page_id, DATE '2024-01-01' + CAST(((page_id % 365) + 365) % 365 AS INTEGER) AS fetched_on,
+         nullif(regexp_replace(regexp_extract(lower(trim(url)), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '\.+$', ''), '') AS host
+  FROM pages),
+h AS (
+  SELECT host, CAST(('0x' || substr(md5(host), 1, 6)) AS BIGINT) AS h, regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) AS domain
+  FROM (SELECT DISTINCT host FROM c WHERE host IS NOT NULL)),
+e AS (
+  SELECT host AS pattern, 'block' AS action, DATE '2024-01-01' + CAST(h % 200 AS INTEGER) AS listed_on FROM h WHERE h % 3 = 0
+  UNION SELECT host, 'allow', DATE '2024-01-01' + CAST(h % 200 + 60 AS INTEGER) FROM h WHERE h % 3 = 0
+  UNION SELECT domain, 'review', DATE '2024-01-01' + CAST(h % 150 AS INTEGER) FROM h WHERE h % 5 = 1 AND domain <> ''
+  UNION SELECT domain, 'block', DATE '2024-01-01' + CAST(h % 150 + 90 AS INTEGER) FROM h WHERE h % 5 = 1 AND domain <> ''),
+daily AS (
+  SELECT pattern, listed_on, arg_max(action, CASE action WHEN 'allow' THEN 1 WHEN 'review' THEN 2 ELSE 3 END) AS action
+  FROM e GROUP BY pattern, listed_on),
+held AS (SELECT *, lead(listed_on) OVER (PARTITION BY pattern ORDER BY listed_on) AS until FROM daily),
+met AS (
+  SELECT c.page_id, held.pattern, held.listed_on, held.action,
+         row_number() OVER (PARTITION BY c.page_id ORDER BY length(held.pattern) DESC) AS k
+  FROM c JOIN held ON (c.host = held.pattern OR ends_with(c.host, '.' || held.pattern))
+    AND held.listed_on <= c.fetched_on AND (held.until IS NULL OR c.fetched_on < held.until))
+SELECT c.page_id, c.host, CAST(c.fetched_on AS VARCHAR) AS fetched_on, m.pattern, CAST(m.listed_on AS VARCHAR) AS listed_on, coalesce(m.action, 'none') AS action
+FROM c LEFT JOIN (SELECT * FROM met WHERE k = 1) m USING (page_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op3_decontamination": OP3,
+    "op8_warc": OP8,
     "op9_chat_formatting": OP9,
+    "op10_url_filter": OP10,
 }
