@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,72 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.session import ship
+from tidewell.sources.shared import forget, new_path, remove, shared_dir, written
+
+__all__ = ["Shared", "arrow_filter", "arrow_map", "forget", "named", "new_path", "remove", "shared_dir", "text_bytes", "written"]
 
-#: ASCII white space that separates words; ``bytes.split()`` splits at exactly these.
-SPACE = " \t\n\v\f\r"
 #: Rows of text are flushed from Python once an output batch holds this many rows.
 FLUSH_ROWS = 20_000
 
-_created: dict[str, SparkSession] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that the driver and all executors share (``spark.checkpoint.dir``).
-
-    Only a local master may lack the setting; then a temporary folder serves.
-    """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        master = conf.get("spark.master", "")
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        path = tempfile.mkdtemp(prefix="tidewell-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A new, not yet existing path in the shared folder, removed when Python ends."""
-    path = f"{shared_dir(spark)}/tidewell-{name}-{uuid.uuid4().hex[:12]}"
-    if not _created:
-        atexit.register(_sweep)
-    _created[path] = spark
-    return path
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a path of the shared folder with Hadoop's file system API."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    _created.pop(path, None)
-
-
-def _sweep() -> None:
-    for path, spark in list(_created.items()):
-        try:
-            remove(spark, path)
-        except Exception:  # the session has ended; the folder's owner cleans up
-            _created.pop(path, None)
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it again.
-
-    This cuts lineage: what was written survives the loss of any executor.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._tidewell_path = path
-    return out
-
-
-def forget(df: DataFrame) -> None:
-    """Remove the table behind a frame that ``written`` returned."""
-    remove(df.sparkSession, df._tidewell_path)
-
 
 class Shared:
     """A broadcast of bounded size with an id, so that a worker builds what it derives once."""
