@@ -249,6 +249,23 @@ def word_counts(documents: DataFrame) -> DataFrame:
     return counted.groupBy("word", "cls").agg(F.sum("c").alias("c"))
 
 
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """Words at least as frequent as a threshold that at most ``most`` words reach.
+
+    The threshold comes from a histogram of counts in steps of a sixteenth of a
+    doubling, so no task sends more than its share of those words to the driver.
+    """
+    step = F.floor(F.log2(F.col("c").cast("double")) * 16).cast("int")
+    steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()  # 16 rows a doubling at most
+    least, taken = None, 0
+    for r in sorted(steps, key=lambda r: -r["step"]):
+        taken += r["n"]
+        if taken > most:
+            break
+        least = r["step"]
+    return counts.where(F.lit(False) if least is None else step >= least)
+
+
 def encode(documents: DataFrame, head: Shared) -> DataFrame:
     """Each text's classes, its part of the sum of log10(c + 1), and the words still to look up."""
 
@@ -354,7 +371,7 @@ def score(documents: DataFrame, states: int = STATES, rounds: int = ROUNDS, head
     for r in by_class:
         totals[r["cls"]], kinds[r["cls"]] = r["n"], r["v"]
     n, v = int(totals.sum()), int(kinds.sum())
-    top = counts.orderBy(F.desc("c"), "word").limit(head_words).select("word", "c").toPandas()
+    top = frequent(counts, head_words).select("word", "c").toPandas()
     head = Shared(spark, (list(map(bytes, top["word"])), top["c"].to_numpy(np.int64)))
     encoded = written(encode(documents, head), "encoded")
     model = baum_welch(encoded, totals, states, rounds)
