@@ -22,13 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import arrow_map, new_path
+from tidewell.llm.common import arrow_map, new_path, written
 
 #: Payloads of at least this many bytes are stored once.
 LEAST_SHARED = 1000
 #: Bytes of a record's block beyond which it is cut, and records of a file: a file holds 32 MiB and headers at most.
 SEGMENT, RECORDS = 8192, 4096
 CHUNK = 4096
+#: Revisits up to which their table is broadcast when records are typed; more are joined by page.
+BROADCAST = 200_000
 END = b"\r\n\r\n"
 RECORD = "record_id string, page_id long, url string, record_type string, refers_to long, digest string, number int, total long, block binary"
 READ = "page_id long, url string, record_type string, refers_to long, digest string, payload binary"
@@ -148,7 +150,8 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_SHARED, segme
     shared = keys.groupBy("d").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("least")).where("least < refers_to")
     revisits = keys.join(shared, "d").where("page_id < refers_to").select("page_id", F.concat_ws(":", "d", F.col("refers_to").cast("string")).alias("r"))
     # a repeated page_id may have several payloads: its row finds the one of its own digest
-    by_page = revisits.groupBy("page_id").agg(F.collect_set("r").alias("refs"))
+    by_page = written(revisits.groupBy("page_id").agg(F.collect_set("r").alias("refs")), "revisits")
+    by_page = F.broadcast(by_page) if by_page.count() <= BROADCAST else by_page
     own = F.get(F.filter("refs", lambda r: F.startswith(r, F.sha1("payload"))), F.lit(0))
     typed = rows.join(by_page, "page_id", "left").select("page_id", "url", "payload", F.substring_index(own, ":", -1).cast("long").alias("refers_to"))
 
@@ -158,7 +161,7 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_SHARED, segme
                 yield (record,)
 
     lines = arrow_map(typed, run, "value binary", flush=1_000).select(F.col("value").cast("string"))
-    lines.write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", records).text(path)
+    lines.write.option("lineSep", END.decode()).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", records).text(path)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -216,6 +219,7 @@ def round_trip(pages: DataFrame) -> DataFrame:
 def digest(captures: DataFrame) -> DataFrame:
     """The contract's columns: a revisit's length is that of the response it refers to."""
     own = captures.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("computed", F.sha1("payload")).drop("payload", "url")
+    own = written(own, "captures")  # archives are read once, for responses and for what revisits refer to
     responses = own.where("record_type = 'response'").select("page_id", "payload_bytes", F.coalesce("computed", "digest").alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"))
     sizes = responses.where("page_id IS NOT NULL").select(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("digest"), F.col("payload_bytes").alias("size")).distinct()
     revisits = own.where("record_type = 'revisit'").select("page_id", "refers_to", "digest", "record_type").join(sizes, ["refers_to", "digest"], "left")
