@@ -45,7 +45,12 @@ def write_manifest(spark: SparkSession, path: str, content: dict) -> None:
 
 
 def read_manifest(spark: SparkSession, path: str) -> dict:
-    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+    place, fs = _fs(spark, path)
+    stream = fs.open(place)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
 
 
 def assert_rows_match(df: DataFrame, manifest: dict, key: str = "rows") -> None:
