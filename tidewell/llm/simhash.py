@@ -34,6 +34,8 @@ SEED = 42
 RADIUS = 2
 #: Members of a shard beyond which it is dealt again by more bits.
 SHARD = 4096
+#: Documents to remove up to which their ids are broadcast (16 MB); more are joined by id.
+BROADCAST = 1_000_000
 #: Hashes whose bits are counted at once.
 CHUNK = 1 << 15
 
@@ -247,5 +249,6 @@ def keep_one(documents: DataFrame) -> DataFrame:
 
     Of repeated rows with one doc_id all stay: they are the same document.
     """
-    rest = near_duplicates(documents).where("doc_id != component_id").select(F.col("doc_id").alias("doc_id")).distinct()
-    return documents.join(rest, "doc_id", "left_anti").select(*documents.columns)
+    rest = near_duplicates(documents).where("doc_id != component_id").select("doc_id").distinct()
+    rest = written(rest, "removed")
+    return documents.join(F.broadcast(rest) if rest.count() <= BROADCAST else rest, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
