@@ -53,6 +53,9 @@ def test_parts_that_are_no_article_go():
         (None, ""), ("", ""), ("   ", ""), ("<html></html>", ""), ("plain words only", "plain words only"),
         ("<p>a</p>", "a"), ("<div><div><p>a<p>b", "a\nb"), ("a < b <p>c", "a < b\nc"), ("<p>x<br>y</p>", "x y"),
         ("<article class=post><p>x, y</p><article class=comment><p>c, d, e, f, g, h</p></article></article>", "x, y"),
+        ("<article><section><p>" + "long, text, here, " * 50 + "</p></section><section><p>short</p></section></article>", " ".join(["long, text, here,"] * 50) + "\nshort"),
+        ("<div class='content with-sidebar'><p>a, b</p><div class='site-ad-box'><p>c, d, e</p></div></div>", "a, b"),
+        ("<div class=part><p>first, one</p></div><div class=part><p>x</p></div><div class=rest>y</div>", "first, one\nx"),
         ("<body><form><article><p>inside, a form</p></article></form></body>", "inside, a form"),
         ("<p title=\"a > b\">q</p>", "q"), ("<p title='never closed>q</p>", "q"), ("<script>never closed <p>x</p>", ""), ("<!-- never closed <p>x</p>", ""),
         ("<p>&#233;&eacute;&#x1F600; &copy; &unknown;</p>", "éé\U0001f600 © &unknown;"), ("</p></div><p>a</b></p>", "a"),
@@ -145,6 +148,13 @@ def test_redaction(spark):
     assert pii.redact(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("inline", [500, -1])
+def test_redaction_of_added_spans(spark, monkeypatch, inline):
+    monkeypatch.setattr(pii, "INLINE", inline)
+    out = {r.doc_id: r.text for r in pii.redact(contexts(spark)).collect()}
+    assert out[5] == "He said: please CALL ME: on [PHONE] tomorrow" and out[6] == "no context 555-201-34" and out[0] == "Hello. Please call me on [PHONE], thanks"
+
+
 # --- WARC
 
 

@@ -39,6 +39,8 @@ ROUNDS = 3
 #: Digits, or an @ with letters around it, that an added identifier must have.
 LEAST_DIGITS = 5
 BLOCK = 64
+#: Sure patterns up to which they are broadcast as one map when texts are redacted; more are joined.
+INLINE = 500
 
 
 def _starts(lengths: Column, before: Column) -> Column:
@@ -113,20 +115,42 @@ def base_spans(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select("doc_id", F.xxhash64("text").alias("text_hash"), *(["__kept"] if keep else []), spans.alias("spans"), "words")
 
 
-def _instances(base: DataFrame) -> DataFrame:
-    """One row per word with a digit or @: pattern, value, kind of a base match it is in, place."""
-    # the words before: of the piece between this word and the last one
-    left = F.element_at(F.split(F.col("w.before"), "\n", -1), -1)
+def _instance(w: Column) -> tuple[Column, Column, Column, Column]:
+    """Pattern (null without two words before), value, start and end of a word's identifier."""
+    # the words before: of the piece between this word and the last one, in its line
+    left = F.element_at(F.split(w["before"], "\n", -1), -1)
     words = F.filter(F.split(F.lower(left), r"[^\p{L}]+", -1), lambda x: x != "")
     context = F.when(F.size(words) >= 2, F.concat_ws(" ", F.slice(words, -2, 2)))
-    core = F.regexp_extract(F.col("w.value"), r"[\p{L}0-9+].*(?<=[\p{L}0-9])", 0)
-    lead = F.length(F.regexp_extract(F.col("w.value"), r"\A[^\p{L}0-9+]*+", 0))
+    core = F.regexp_extract(w["value"], r"[\p{L}0-9+].*(?<=[\p{L}0-9])", 0)
+    start = w["start"] + F.length(F.regexp_extract(w["value"], r"\A[^\p{L}0-9+]*+", 0))
+    return context, F.lower(core), start, start + F.length(core)
+
+
+def _instances(base: DataFrame) -> DataFrame:
+    """One row per word with a digit or @: pattern, value, kind of a base match it is in, place."""
     rows = base.where(F.size("words") > 0).select("doc_id", "text_hash", "spans", F.explode("words").alias("w"))
-    rows = rows.select("doc_id", "text_hash", "spans", context.alias("pattern"), F.lower(core).alias("value"), (F.col("w.start") + lead).alias("start"), (F.col("w.start") + lead + F.length(core)).alias("end"))
-    inside = F.filter("spans", lambda s: (s["start"] < F.col("end")) & (F.col("start") < s["end"]))
-    rows = rows.withColumn("__in", inside)
-    starts = F.get("__in", F.lit(0))
-    return rows.where("value != '' AND pattern IS NOT NULL").select("doc_id", "text_hash", "pattern", "value", "start", "end", F.when(F.size("__in") > 0, starts["kind"]).alias("seed"), F.when(F.size("__in") > 0, F.lower(starts["value"])).alias("seed_value"))
+    pattern, value, start, end = _instance(F.col("w"))
+    rows = rows.select("doc_id", "text_hash", "spans", pattern.alias("pattern"), value.alias("value"), start.alias("start"), end.alias("end"))
+    rows = rows.withColumn("__in", _within(F.col("spans"), F.col("start"), F.col("end")))
+    first = F.get("__in", F.lit(0))
+    return rows.where("value != '' AND pattern IS NOT NULL").select("doc_id", "text_hash", "pattern", "value", "start", "end", F.when(F.size("__in") > 0, first["kind"]).alias("seed"), F.when(F.size("__in") > 0, F.lower(first["value"])).alias("seed_value"))
+
+
+def _within(spans: Column, start: Column, end: Column) -> Column:
+    """The base spans that overlap a place."""
+    return F.filter(spans, lambda s: (s["start"] < end) & (start < s["end"]))
+
+
+def _added(spans: Column, words: Column, known: Column) -> Column:
+    """Added spans of a text, given a map from sure patterns to kinds."""
+
+    def one(w: Column) -> Column:
+        pattern, value, start, end = _instance(w)
+        kind = F.try_element_at(known, F.coalesce(pattern, F.lit("")))
+        fits = kind.isNotNull() & (value != "") & _looks_like(value) & (F.size(_within(spans, start, end)) == 0)
+        return F.when(fits, F.struct(kind.alias("kind"), start.alias("start"), end.alias("end")))
+
+    return F.array_distinct(F.filter(F.transform(words, one), lambda x: x.isNotNull()))
 
 
 def patterns(instances: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SEEDS, least_confidence: float = LEAST_CONFIDENCE) -> DataFrame:
@@ -167,13 +191,11 @@ def find(documents: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SE
     further columns are ignored; a null doc_id stays null.
     """
     base = written(base_spans(documents), "pii-base")
-    return _with_added(base, rounds, least_seeds, least_confidence)
+    return _with_added(base, patterns(_instances(base), rounds, least_seeds, least_confidence))
 
 
-def _with_added(base: DataFrame, rounds: int, least_seeds: int, least_confidence: float) -> DataFrame:
-    instances = _instances(base)
-    sure = patterns(instances, rounds, least_seeds, least_confidence)
-    new = instances.where("seed IS NULL").where(_looks_like(F.col("value"))).join(sure.select("pattern", "kind"), "pattern")
+def _with_added(base: DataFrame, sure: DataFrame) -> DataFrame:
+    new = _instances(base).where("seed IS NULL").where(_looks_like(F.col("value"))).join(sure.select("pattern", "kind"), "pattern")
     added = new.select("doc_id", "text_hash", F.struct("kind", "start", "end").alias("s")).distinct().groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list("s")).alias("added"))
     added = added.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), "added")
     out = base.join(added, base["doc_id"].eqNullSafe(added["__doc"]) & (base["text_hash"] == added["__hash"]), "left")
@@ -194,19 +216,32 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
+def _ordered(spans: Column) -> Column:
+    """Spans by start, longer ones first."""
+    return F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("minus_end"), s["kind"].alias("kind"))))
+
+
 def redact(documents: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SEEDS, least_confidence: float = LEAST_CONFIDENCE) -> DataFrame:
     """The documents with every span replaced by its kind in brackets; n_chars follows the text.
 
     Of overlapping spans the one that starts first, then the longest, is shown;
     all of its and the others' characters go. Null texts stay null.
     """
-    # rows without a span keep their text; only rows with spans meet the table of spans
-    found = find(documents, rounds, least_seeds, least_confidence)
-    every = F.concat("spans", "added")
-    marks = found.where(F.size(every) > 0).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), F.sort_array(F.transform(every, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("minus_end"), s["kind"].alias("kind")))).alias("__marks"))
-    marks = marks.dropDuplicates(["__doc", "__hash"])
-    keyed = documents.withColumn("__h", F.xxhash64(F.coalesce("text", F.lit(""))))
-    joined = keyed.join(marks, keyed["doc_id"].eqNullSafe(marks["__doc"]) & (keyed["__h"] == marks["__hash"]), "left")
+    light = written(base_spans(documents), "pii-base")
+    sure = patterns(_instances(light), rounds, least_seeds, least_confidence)
+    if sure.count() <= INLINE:
+        # few patterns, as one broadcast map: texts are searched again where they are and never shuffled
+        known = sure.agg(F.map_from_entries(F.collect_list(F.struct("pattern", "kind"))).alias("__known"), F.lit(1).alias("__one"))
+        based = base_spans(documents, tuple(documents.columns)).withColumn("__one", F.lit(1)).join(F.broadcast(known), "__one")
+        every = F.concat(F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))), F.when(F.size("__known") > 0, _added(F.col("spans"), F.col("words"), F.col("__known"))).otherwise(F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")))
+        joined = based.withColumn("__every", every).select("__kept.*", F.when(F.size("__every") > 0, _ordered(F.col("__every"))).alias("__marks"))
+    else:
+        found = _with_added(light, sure)
+        every = F.concat("spans", "added")
+        marks = found.where(F.size(every) > 0).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), _ordered(every).alias("__marks"))
+        marks = marks.dropDuplicates(["__doc", "__hash"])
+        keyed = documents.withColumn("__h", F.xxhash64(F.coalesce("text", F.lit(""))))
+        joined = keyed.join(marks, keyed["doc_id"].eqNullSafe(marks["__doc"]) & (keyed["__h"] == marks["__hash"]), "left")
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     text = F.col("text")
 
