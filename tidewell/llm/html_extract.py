@@ -41,10 +41,12 @@ CLOSES = {
 CLOSES_P = BLOCK - {"body", "html"}
 DROP_TAGS = frozenset("nav header footer aside form script style noscript template iframe object embed svg math canvas audio video button select textarea input dialog menu head title map noembed noframes xmp search datalist".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form toolbar".split())
-#: Words that, as a part of a class name or id, mark a part of the page as no article text.
-DROP_NAMES = frozenset("ad ads adv advert adverts advertisement advertising adbox adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification popup modal overlay newsletter subscribe subscription signup share sharing social related recommended recommendations menu nav navbar navigation navi breadcrumb breadcrumbs pagination pager footer masthead toolbar sidebar widget widgets login search skip comment comments commentlist disqus respond replies outbrain taboola topbar toplinks sitenav rail".split())
+#: Words that, first or last in a class name or id, mark a part of the page as no article text.
+DROP_NAMES = frozenset("ad ads adv advert adverts advertisement advertising adbox adslot adsense alert sponsor sponsored promo promotion promotions banner cookie cookies consent gdpr notice notices notification notifications popup modal overlay newsletter subscribe subscription signup share sharing social related recommended recommendations menu submenu mainmenu nav navbar topnav subnav sidenav navigation navi breadcrumb breadcrumbs pagination pager footer masthead toolbar sidebar aside widget widgets login search skip comment comments commentlist discussion disqus respond reply replies outbrain taboola topbar toplinks sitenav rail".split())
+#: Of these, the words that do so anywhere in a name.
+DROP_ANYWHERE = frozenset("ad ads advert advertisement comments cookie navbar newsletter sidebar sponsored".split())
 GOOD_NAMES = frozenset("article post story content entry body main text page hentry".split())
-#: Prefixes that turn a name into a statement about the layout.
+#: Words that turn a name into a statement about the layout.
 LAYOUT = frozenset("has no with without show hide is".split())
 KEEP_TAGS = frozenset(("html", "body", "main"))
 PARAGRAPH = frozenset(("p", "pre", "td", "li", "dd", "blockquote", "figcaption"))
@@ -200,7 +202,7 @@ def is_dropped(node: Node) -> bool:
         return True
     for name in _names(node):
         parts = [x for x in _PARTS.split(name) if x]
-        if parts and parts[0] not in LAYOUT and (parts[0] in DROP_NAMES or parts[-1] in DROP_NAMES):
+        if parts and LAYOUT.isdisjoint(parts) and (parts[0] in DROP_NAMES or parts[-1] in DROP_NAMES or not DROP_ANYWHERE.isdisjoint(parts)):
             return True
     return False
 
@@ -277,6 +279,11 @@ def choose(order: list[Node]) -> list[Node]:
             best, most = node, points
     if best is None:
         return [n for n in order if n.tag == "body"][:1] or order[:1]
+    up = best  # a part of an article stands for the whole article
+    while up is not None and up.tag != "body":
+        if up.tag == "article":
+            best = up
+        up = up.parent
     if best.parent is None or best.tag == "body":
         return [best]
     kept = []
@@ -290,7 +297,8 @@ def choose(order: list[Node]) -> list[Node]:
             elif node.tag in ("h1", "h2"):
                 alike = density < 0.5
             else:
-                alike = node.points * (1 - density) >= max(10.0, 0.2 * best.points) and density < 0.25
+                named = node.tag == best.tag and node.attributes.get("class") and node.attributes.get("class") == best.attributes.get("class")
+                alike = density < 0.25 and (bool(named) or node.points * (1 - density) >= max(10.0, 0.2 * best.points))
             if alike:
                 kept.append(node)
     return kept
