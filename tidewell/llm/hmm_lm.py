@@ -45,6 +45,7 @@ HEAD = 100_000
 CONTEXT = 32
 SEGMENT = 128
 BLOCK = 4096  # segments that are worked on at once
+SCALED = 16  # steps between scalings of the recursions
 HELD_OUT, FOLDS = 2, 7
 
 
@@ -115,7 +116,7 @@ def transfers(model: Model, seg: Segments) -> tuple[np.ndarray, np.ndarray]:
             if not n:
                 break
             m[:n] = (m[:n].reshape(-1, k) @ model.step).reshape(n, k, k) * emit[classes[:n, t]][:, None, :]
-            if t % 16 == 0:
+            if t % SCALED == 0:
                 big = m[:n].max((1, 2), keepdims=True)
                 m[:n] /= big
                 logs[:n] += np.log10(big[:, 0, 0])
@@ -161,38 +162,43 @@ def expected_counts(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarr
         after[at] = w / w.sum(1, keepdims=True)
     emit, _ = model.scaled()
     start, step, seen = np.zeros(k), np.zeros((k, k)), np.zeros((k, n_classes))
+    one = np.ones((k, 1))
     for some, classes, reach in seg.blocks():
-        head = seg.at[some] == 0
+        head = (seg.at[some] == 0)[:, None]
+        # forward: each step's vectors may have any scale, so they are scaled now and then
         alpha = np.zeros((len(reach), len(some), k))
-        a = np.where(head[:, None], into[some], into[some] @ model.step) * emit[classes[:, 0]]
-        alpha[0] = a / a.sum(1, keepdims=True)
+        alpha[0] = np.where(head, into[some], into[some] @ model.step) * emit[classes[:, 0]]
         for t in range(1, len(reach)):
             n = reach[t]
-            a = (alpha[t - 1, :n] @ model.step) * emit[classes[:n, t]]
-            alpha[t, :n] = a / a.sum(1, keepdims=True)
+            np.multiply(alpha[t - 1, :n] @ model.step, emit[classes[:n, t]], out=alpha[t, :n])
+            if t % SCALED == 0:
+                alpha[t, :n] /= alpha[t, :n] @ one
+        # backward: a step's state probabilities replace its forward vectors
         beta = after[some].copy()
         for t in range(len(reach) - 1, -1, -1):
             n = reach[t]
-            if not n:
-                continue
             tail = emit[classes[:n, t]] * beta[:n]
             before = alpha[t - 1, :n] if t else into[some]
-            z = ((before @ model.step) * tail).sum(1, keepdims=True)
+            reached = before @ model.step
+            if not t:
+                reached = np.where(head, before, reached)
+            joint = reached * tail
+            weight = 1 / (joint @ one)
             if t:
-                step += (before / z).T @ tail
+                step += (before * weight).T @ tail
             else:
-                inner = ~head
-                step += (before[inner] / z[inner]).T @ tail[inner]
-            gamma = alpha[t, :n] * beta[:n]
-            alpha[t, :n] = gamma / gamma.sum(1, keepdims=True)
-            back = tail @ model.step.T
-            beta[:n] = back / back.sum(1, keepdims=True)
-        start += alpha[0][head].sum(0)
+                inner = ~head[:, 0]
+                step += (before * weight)[inner].T @ tail[inner]
+            np.multiply(joint, weight, out=alpha[t, :n])
+            beta[:n] = tail @ model.step.T
+            if t % SCALED == 0:
+                beta[:n] /= beta[:n] @ one
+        start += alpha[0][head[:, 0]].sum(0)
         inside = np.arange(len(reach))[:, None] < seg.size[some][None]
         places = classes.T[: len(reach)][inside]
         weights = alpha[inside]
-        for s in range(k):
-            seen[s] += np.bincount(places, weights[:, s], n_classes)
+        for state in range(k):
+            seen[state] += np.bincount(places, weights[:, state], n_classes)
     return start, step * model.step, seen
 
 
