@@ -11,10 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewell.session import ship
 from tidewell.sources.shared import forget, new_path, remove, shared_dir, written
 
-__all__ = ["Shared", "arrow_filter", "arrow_map", "forget", "named", "new_path", "remove", "shared_dir", "text_bytes", "written"]
+__all__ = ["Shared", "arrow_filter", "arrow_map", "forget", "named", "new_path", "prepare", "remove", "shared_dir", "text_bytes", "written"]
 
 #: Rows of text are flushed from Python once an output batch holds this many rows.
 FLUSH_ROWS = 20_000
+#: Texts move to Python in batches of about so many bytes, where the session has the default of 64 MB.
+BATCH = "16m"
+_DEFAULT_BATCH = "67108864b"
+
+
+def prepare(spark: SparkSession) -> None:
+    """What each Arrow pass needs: this package on the workers, and batches that leave room for long texts."""
+    ship(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == _DEFAULT_BATCH:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
 
 
 class Shared:
@@ -42,7 +52,7 @@ def arrow_filter(df: DataFrame, keep: Callable[[pa.RecordBatch], list[bool]]) ->
         for batch in batches:
             yield batch.filter(pa.array(keep(batch), pa.bool_()))
 
-    ship(df.sparkSession)
+    prepare(df.sparkSession)
     return df.mapInArrow(run, df.schema)
 
 
@@ -74,7 +84,7 @@ def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], Iterator[tuple]],
         if held:
             yield _pack(held, arrow)
 
-    ship(df.sparkSession)
+    prepare(df.sparkSession)
     return df.mapInArrow(run, kind)
 
 

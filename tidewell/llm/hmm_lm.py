@@ -33,8 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import Shared, arrow_map, text_bytes, written
-from tidewell.session import ship
+from tidewell.llm.common import Shared, arrow_map, prepare, text_bytes, written
 
 STATES = 6
 CLASSES = 1024  # of words; class 0 is the end of a text
@@ -325,7 +324,7 @@ def _summed(encoded: DataFrame, add, size: int) -> np.ndarray:
 
     Partial vectors are summed by place on the executors; the driver gets one.
     """
-    ship(encoded.sparkSession)
+    prepare(encoded.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)

@@ -55,13 +55,14 @@ def binary_lengths(n: int, longest: int = MAX_LENGTH) -> list[int]:
 @lru_cache(maxsize=4)
 def _encoder(json_path: str, ranks_path: str | None):
     """A function from text to the ids that the tokenizer file gives."""
-    from tokenizers import Tokenizer
+    @lru_cache(maxsize=1)
+    def exact():
+        from tokenizers import Tokenizer
 
-    exact = Tokenizer.from_file(json_path)
-    marks = [t.content for t in exact.get_added_tokens_decoder().values()]
+        return Tokenizer.from_file(json_path)
 
     def by_file(text: str) -> list[int]:
-        return exact.encode(text, add_special_tokens=False).ids
+        return exact().encode(text, add_special_tokens=False).ids
 
     if ranks_path is None:
         return by_file
@@ -71,9 +72,11 @@ def _encoder(json_path: str, ranks_path: str | None):
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     with open(json_path, encoding="utf-8") as f:
-        listed = len(json.load(f)["model"]["vocab"])
-    if listed - len(ranks) not in (0, len(marks)):
+        described = json.load(f)
+    marks = [t["content"] for t in described["added_tokens"]]
+    if len(described["model"]["vocab"]) - len(ranks) not in (0, len(marks)):
         raise ValueError("the ranks are not those of the tokenizer file")
+    del described
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def by_ranks(text: str) -> list[int]:
@@ -115,7 +118,7 @@ def pack(documents: DataFrame, tokenizer: str, ranks: str | None = None, longest
                 start += length
 
     running = [0] * (top + 1)
-    return arrow_map(documents.select("doc_id", "text"), rows, PIECES, flush=5_000)
+    return arrow_map(documents.select("doc_id", "text"), rows, PIECES, flush=2_000)
 
 
 def _little_endian(ids: list[int]) -> bytes:

@@ -26,8 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import arrow_map, forget, text_bytes, written
-from tidewell.session import ship
+from tidewell.llm.common import arrow_map, forget, prepare, text_bytes, written
 
 SHINGLE = 3
 SEED = 42
@@ -193,7 +192,7 @@ def links(nodes: DataFrame, shard: int = SHARD) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     sorted_keys = dealt.select("key", "fp").repartition("key").sortWithinPartitions("key")
-    ship(nodes.sparkSession)
+    prepare(nodes.sparkSession)
     return sorted_keys.mapInArrow(search, "a long, b long").distinct()
 
 
