@@ -54,6 +54,7 @@ def test_parts_that_are_no_article_go():
         ("<p>a</p>", "a"), ("<div><div><p>a<p>b", "a\nb"), ("a < b <p>c", "a < b\nc"), ("<p>x<br>y</p>", "x y"),
         ("<article class=post><p>x, y</p><article class=comment><p>c, d, e, f, g, h</p></article></article>", "x, y"),
         ("<article><section><p>" + "long, text, here, " * 50 + "</p></section><section><p>short</p></section></article>", " ".join(["long, text, here,"] * 50) + "\nshort"),
+        ("<head><title>t</title><p>no body, here<a href=1>x<a href=2>y</a> z", "no body, herexy z"),
         ("<div class='content with-sidebar'><p>a, b</p><div class='site-ad-box'><p>c, d, e</p></div></div>", "a, b"),
         ("<div class=part><p>first, one</p></div><div class=part><p>x</p></div><div class=rest>y</div>", "first, one\nx"),
         ("<body><form><article><p>inside, a form</p></article></form></body>", "inside, a form"),
@@ -168,7 +169,9 @@ def test_round_trip_matches_sql(spark, sf_dir):
     assert got == want
 
 
-def test_awkward_captures(spark):
+@pytest.mark.parametrize("few", [warc.BROADCAST, -1])
+def test_awkward_captures(spark, monkeypatch, few):
+    monkeypatch.setattr(warc, "BROADCAST", few)
     big, odd = "é" * 9000, "line\r\n\r\nWARC/1.1\r\n\r\n0\r\n\r\n" * 800
     rows = [(1, "http://a/ b", big), (2, None, big), (3, "u", odd), (4, "u", None), (5, "", ""), (6, "u", "x" * 999), (7, "u", "x" * 999), (8, "u", "y" * 1000), (9, "u", "y" * 1000), (9, "u", "y" * 1000), (9, "u", big + "!"), (None, "u", "y" * 1000)]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, refers_to string")

@@ -217,6 +217,28 @@ def test_decontamination_matches_brute_force(spark, sf_dir, docs):
             assert (g.n_words, g.n_hit, g.n_items, g.items_sha256, g.contaminated) == (n, hit, len(names), sha, hit > 0 and 20 * hit >= n)
 
 
+def test_random_words_match_brute_force():
+    random.seed(11)
+    for size in (13, 7, 3, 1):
+        for _ in range(60):
+            pick = lambda n, words: " ".join(random.choice(words) for _ in range(n))
+            few = ["a", "b"] if random.random() < 0.5 else list("abcdefgh")
+            items = [(str(k), pick(random.randrange(40), few)) for k in range(6)]
+            parts = [random.choice(items)[1][random.randrange(30) :] if random.random() < 0.6 else pick(random.randrange(20), few) for _ in range(6)]
+            text = " x ".join(parts)
+            patterns, listed = {}, []
+            for name, t in items:
+                words = decontamination.words_of(t)
+                for at, p in decontamination.anchors(words, size):
+                    patterns.setdefault(p, []).append((len(listed), at))
+                listed.append((name, words))
+            if not patterns:
+                continue
+            n, runs, names = decontamination.scan(text.encode(), decontamination.build_automaton((patterns, listed)), size)
+            hit = sum(b - a for a, b in decontamination._union(runs))
+            assert (n, hit, sorted(names)) == decontamination.brute_force(text, items, size)[:3]
+
+
 def test_spans_point_into_the_original(spark):
     item = "What's the CAPITAL of France, and why is it not Lyon or any other?"
     text = "Ünten!  what S the--capital of\nfrance and why is it not lyon OR any other... bye"

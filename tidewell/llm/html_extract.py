@@ -37,7 +37,10 @@ CLOSES = {
     "thead": (("tbody", "thead", "tfoot"), ("table",)),
     "tfoot": (("tbody", "thead", "tfoot"), ("table",)),
     "option": (("option",), ("select",)),
+    "a": (("a",), ("td", "th", "table", "object")),
 }
+#: What may be in a head; any other start tag ends it.
+HEAD = frozenset("base link meta noscript script style template title".split())
 CLOSES_P = BLOCK - {"body", "html"}
 DROP_TAGS = frozenset("nav header footer aside form script style noscript template iframe object embed svg math canvas audio video button select textarea input dialog menu head title map noembed noframes xmp search datalist".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form toolbar".split())
@@ -163,7 +166,7 @@ def parse(page: str) -> Node:
             node = open_one(*CLOSES[tag])
             if node is not None:
                 here = close(node)
-        if tag == "body" and opened.get("head"):
+        if tag not in HEAD and opened.get("head"):
             node = open_one(("head",), ())
             here = close(node) if node is not None else here
         new = Node(tag, attributes, here)
