@@ -1,13 +1,16 @@
 """Benchmark decontamination with an Aho-Corasick automaton.
 
-Windows of 13 consecutive normalised words of every benchmark item become the
-patterns of one automaton. Each text is normalised (A-Z lowered, every other
-ASCII character that is no letter or digit is a space), scanned once as bytes,
-and the matches are mapped to word numbers and byte offsets of the text.
-
-The automaton is broadcast as its list of patterns, and a block of patterns has
-a bounded size (``BLOCK_BYTES``); a larger benchmark is scanned in several
-blocks, whose hits are united by document.
+A document word is hit if it lies in 13 consecutive words that follow one another
+in a benchmark item too. Any such window holds an anchor: six words that start
+at a multiple of eight in the item. The anchors of all items are the patterns of
+one automaton. Each text is normalised (A-Z lowered, every other ASCII character
+that is no letter or digit is a space) and scanned once as bytes; where an anchor
+is found, item and text are compared in both directions, so that results are
+exact, and the runs found are mapped to word numbers and byte offsets.
+
+Anchors take less than a tenth of what all windows would. A block of patterns
+and items has a bounded size (``BLOCK_BYTES``) and is broadcast; a larger
+benchmark is scanned in several blocks, whose hits are united.
 """
 
 from __future__ import annotations
@@ -24,8 +27,8 @@ from pyspark.sql import types as T
 
 from tidewell.llm.common import Shared, arrow_filter, arrow_map, named, text_bytes
 
-WINDOW = 13
-#: Bytes of patterns in one automaton; its memory is about 60 times that.
+WINDOW, ANCHOR = 13, 6
+#: Bytes of patterns and items in one block; the automaton's memory is about 60 times that of the patterns.
 BLOCK_BYTES = 2_000_000
 #: A-Z to a-z, other ASCII outside 0-9a-z to a space; bytes of non-ASCII characters stay.
 NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -38,63 +41,86 @@ HITS = T.StructType([
     T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))),
 ])
 
-def windows(text: str | None, size: int = WINDOW) -> set[bytes]:
-    """The item's windows as byte patterns with a space before and after each word."""
-    words = (text or "").encode().translate(NORMAL).split()
-    if not words:
-        return set()
-    return {b" " + b" ".join(words[i : i + size]) + b" " for i in range(max(1, len(words) - size + 1))}
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").encode().translate(NORMAL).split()
+
+
+def anchors(words: list[bytes], size: int = WINDOW) -> Iterator[tuple[int, bytes]]:
+    """Place and pattern (a space before and after each word) of an item's anchors.
+
+    Every window of ``size`` words has one inside; a shorter item has one at its start.
+    """
+    long = min(ANCHOR, size, len(words))
+    step = size - long + 1 if len(words) >= size else len(words) or 1
+    for at in range(0, len(words) - long + 1, step):
+        yield at, b" " + b" ".join(words[at : at + long]) + b" "
 
 
-def blocks(benchmark: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> Iterator[dict[bytes, list[str]]]:
-    """Pattern to item ids, in blocks of bounded size, read from the benchmark row by row."""
-    held: dict[bytes, list[str]] = {}
+def blocks(benchmark: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[dict[bytes, list[tuple[int, int]]], list[tuple[str | None, list[bytes]]]]]:
+    """Patterns with (item, place) and the items, in blocks of bounded size, read row by row."""
+    patterns: dict[bytes, list[tuple[int, int]]] = {}
+    items: list[tuple[str | None, list[bytes]]] = []
     used = 0
     for row in benchmark.select(F.col("item_id").cast("string"), "text").toLocalIterator(prefetchPartitions=False):
-        for pattern in windows(row[1], size):
-            if pattern not in held:
-                held[pattern] = []
-                used += len(pattern)
-            if row[0] is not None and row[0] not in held[pattern]:
-                held[pattern].append(row[0])
+        words = words_of(row[1])
+        if not words:
+            continue
+        for at, pattern in anchors(words, size):
+            used += len(pattern) if pattern not in patterns else 8
+            patterns.setdefault(pattern, []).append((len(items), at))
+        items.append((row[0], words))
+        used += sum(map(len, words))
         if used >= block_bytes:
-            yield held
-            held, used = {}, 0
-    if held:
-        yield held
+            yield patterns, items
+            patterns, items, used = {}, [], 0
+    if items:
+        yield patterns, items
 
 
-def build_automaton(patterns: dict[bytes, list[str]]) -> tuple[ahocorasick.Automaton, list[tuple[int, list[str]]]]:
-    """The automaton, and of each pattern its length and item ids."""
+def build_automaton(block: tuple[dict[bytes, list[tuple[int, int]]], list[tuple[str | None, list[bytes]]]]) -> tuple:
+    """The automaton, the length and places of each pattern, and the items."""
     auto, listed = ahocorasick.Automaton(), []
-    for pattern, items in patterns.items():
+    for pattern, places in block[0].items():
         auto.add_word(pattern.decode("latin-1"), len(listed))
-        listed.append((len(pattern), items))
+        listed.append((len(pattern), places))
     auto.make_automaton()
-    return auto, listed
+    return auto, listed, block[1]
 
 
-def scan(raw: bytes, automaton: ahocorasick.Automaton, listed: list[tuple[int, list[str]]]) -> tuple[int, list[tuple[int, int]], set[str]]:
+def scan(raw: bytes, built: tuple, size: int = WINDOW) -> tuple[int, list[list[int]], set[str]]:
     """Number of words, runs of hit words [first, after), and ids of the items found."""
+    automaton, listed, items = built
     words = raw.translate(NORMAL).split()
-    if not words:
+    n = len(words)
+    if not n:
         return 0, [], set()
-    found = list(automaton.iter((b" " + b" ".join(words) + b" ").decode("latin-1")))
-    if not found:
-        return len(words), [], set()
-    starts = np.cumsum([1, *(len(w) + 1 for w in words)])
-    change = np.zeros(len(words) + 1, np.int64)
-    ends = np.array([end for end, _ in found])
-    sizes = np.array([listed[k][0] for _, k in found])
-    np.add.at(change, np.searchsorted(starts, ends - sizes + 2), 1)
-    np.add.at(change, np.searchsorted(starts, ends + 1), -1)
-    hit = np.concatenate([[0], (np.cumsum(change)[:-1] > 0).astype(np.int8), [0]])
-    edges = np.flatnonzero(np.diff(hit))
-    items = {i for k in {k for _, k in found} for i in listed[k][1]}
-    return len(words), list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)), items
-
-
-def byte_spans(raw: bytes, runs: list[tuple[int, int]]) -> list[list[int]]:
+    starts, runs, names = None, [], set()
+    seen: dict[tuple[int, int], int] = {}  # item and shift -> end of the last run compared
+    for end, k in automaton.iter((b" " + b" ".join(words) + b" ").decode("latin-1")):
+        if starts is None:
+            starts = np.cumsum([1, *(len(w) + 1 for w in words)])
+        length, places = listed[k]
+        here = int(np.searchsorted(starts, end - length + 2))
+        for item, at in places:
+            shift = here - at
+            if seen.get((item, shift), -1) > here:
+                continue
+            name, wanted = items[item]
+            low, high = here, here
+            while low and low - shift and words[low - 1] == wanted[low - 1 - shift]:
+                low -= 1
+            stop = min(n, len(wanted) + shift)
+            while high < stop and words[high] == wanted[high - shift]:
+                high += 1
+            seen[item, shift] = high
+            if high - low >= min(size, len(wanted)):
+                runs.append([low, high])
+                if name is not None:
+                    names.add(name)
+    return n, runs, names
+
+
+def byte_spans(raw: bytes, runs: list[list[int]]) -> list[list[int]]:
     """Byte offsets [start, end) in the original text of runs of words."""
     if not runs:
         return []
@@ -120,11 +146,11 @@ def _scanner(documents: DataFrame, benchmark: DataFrame, size: int, block_bytes:
     def scan_all(texts: list[bytes]) -> list[tuple[int, list[list[int]], list[str]]]:
         found = [(len(raw.translate(NORMAL).split()), [], set()) for raw in texts] if not casts else [(0, [], set())] * len(texts)
         for cast in casts:
-            automaton, listed = cast.built(build_automaton)
+            built = cast.built(build_automaton)
             for i, raw in enumerate(texts):
-                n, runs, items = scan(raw, automaton, listed)
+                n, runs, items = scan(raw, built, size)
                 found[i] = n, found[i][1] + runs, found[i][2] | items
-        return [(n, _union(runs), sorted(items)) for n, runs, items in found]
+        return [(n, _union(runs), sorted(items)) for n, runs, items in found]  # ids sorted as text
 
     return scan_all
 
