@@ -39,7 +39,7 @@ ROUNDS = 3
 #: Digits, or an @ with letters around it, that an added identifier must have.
 LEAST_DIGITS = 5
 BLOCK = 64
-#: Sure patterns up to which they are broadcast as one map when texts are redacted; more are joined.
+#: Sure patterns up to which they are a map in the plan when texts are redacted; more are joined.
 INLINE = 500
 
 
@@ -229,11 +229,14 @@ def redact(documents: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_
     """
     light = written(base_spans(documents), "pii-base")
     sure = patterns(_instances(light), rounds, least_seeds, least_confidence)
-    if sure.count() <= INLINE:
-        # few patterns, as one broadcast map: texts are searched again where they are and never shuffled
-        known = sure.agg(F.map_from_entries(F.collect_list(F.struct("pattern", "kind"))).alias("__known"), F.lit(1).alias("__one"))
-        based = base_spans(documents, tuple(documents.columns)).withColumn("__one", F.lit(1)).join(F.broadcast(known), "__one")
-        every = F.concat(F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))), F.when(F.size("__known") > 0, _added(F.col("spans"), F.col("words"), F.col("__known"))).otherwise(F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")))
+    few = sure.select("pattern", "kind").limit(INLINE + 1).collect() if INLINE >= 0 else None
+    if few is not None and len(few) <= INLINE:
+        # few patterns, as a map in the plan: texts are searched again where they are and never shuffled
+        based = base_spans(documents, tuple(documents.columns))
+        every = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+        if few:
+            known = F.create_map(*[F.lit(x) for r in sorted(few) for x in (r["pattern"], r["kind"])])
+            every = F.concat(every, _added(F.col("spans"), F.col("words"), known))
         joined = based.withColumn("__every", every).select("__kept.*", F.when(F.size("__every") > 0, _ordered(F.col("__every"))).alias("__marks"))
     else:
         found = _with_added(light, sure)

@@ -61,12 +61,12 @@ def evaluate(captures: DataFrame, entries: DataFrame, period: int = PERIOD, salt
     labels = F.split("host", r"\.", -1)
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
     left = asked.select("host", "fetched_on", F.explode(suffixes).alias("pattern"), F.floor(_day(F.col("fetched_on")) / period).alias("period"), F.pmod(F.xxhash64("host", "fetched_on"), F.lit(salts)).alias("salt"))
-    # an interval that still holds reaches to the last day asked for, which is one value
-    span = asked.agg(F.min("fetched_on").alias("first_day"), F.max("fetched_on").alias("last_day"))
-    right = held.withColumn("one", F.lit(1)).join(F.broadcast(span.withColumn("one", F.lit(1))), "one").drop("one")
-    first = F.floor(_day(F.greatest("valid_from", "first_day")) / period)
-    last = F.floor(_day(F.least(F.date_sub("valid_to", 1), F.col("last_day"))) / period)
-    right = right.where((F.col("valid_from") <= F.col("last_day")) & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("first_day"))))
+    # an interval that still holds reaches to the last day asked for
+    first_day, last_day = asked.agg(F.min("fetched_on"), F.max("fetched_on")).first()
+    low, high = F.lit(first_day).cast("date"), F.lit(last_day).cast("date")
+    right = held.where((F.col("valid_from") <= high) & (F.col("valid_to").isNull() | (F.col("valid_to") > low)))
+    first = F.floor(_day(F.greatest(F.col("valid_from"), low)) / period)
+    last = F.floor(_day(F.least(F.date_sub("valid_to", 1), high)) / period)
     right = right.select("pattern", "action", "valid_from", "valid_to", F.explode(F.sequence(first, last)).alias("period"))
     right = right.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"))
     met = left.join(right, ["pattern", "period", "salt"]).where((F.col("valid_from") <= F.col("fetched_on")) & (F.col("valid_to").isNull() | (F.col("fetched_on") < F.col("valid_to"))))
