@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.columns import cosine, ratio
@@ -79,31 +79,34 @@ def recent_text_mean(tx: DataFrame, vectors: DataFrame, starts: Sequence[Start],
     return met.groupBy(*KEYS).agg(F.array(*[F.avg(F.get("vector", F.lit(k))) for k in range(VECTOR)]).alias("recent_vector"))
 
 
-def pair_features(candidates: DataFrame, tx: DataFrame, articles: DataFrame, customers: DataFrame, articles_before: DataFrame, vectors: DataFrame, recent: DataFrame, starts: Sequence[Start]) -> DataFrame:
-    """The seven features of a pair.
+def pair_features(candidates: DataFrame, tx: DataFrame, articles: DataFrame, customers: DataFrame, articles_before: DataFrame, vectors: DataFrame, recent: DataFrame, starts: Sequence[Start], keep: Sequence[str] = ()) -> DataFrame:
+    """The seven features of a pair, and the ``keep`` columns of the candidates.
 
-    ``customers`` and ``articles_before`` are the customer and article blocks;
-    the history is enriched once and counted by article and by attribute.
+    ``customers`` and ``articles_before`` are the customer and article blocks.
+    Candidates and history are dealt by customer together, once; sums by
+    article and by each attribute are windows inside that partitioning.
     """
     traits = articles.select("article_id", "product_code", "colour_group_name", "department_name")
-    history = in_windows(tx, starts, None).groupBy(*KEYS, "article_id").agg(F.count("*").alias("n"), F.max("t_dat").alias("last"))
-    enriched = history.join(traits, "article_id", "left")
-    by_article = history.select(*KEYS, "article_id", F.col("n").alias(PAIR[0]), F.datediff("window_start", "last").cast("long").alias(PAIR[1]))
-    pairs = candidates.select(*KEYS, "article_id").join(traits, "article_id", "left").join(by_article, [*KEYS, "article_id"], "left")
+    asked = candidates.select(*KEYS, "article_id", *keep, F.lit(True).alias("__asked"))
+    history = in_windows(tx, starts, None).select(*KEYS, "article_id", F.lit(False).alias("__asked"), F.lit(1).alias("__n"), F.col("t_dat").alias("__last"))
+    rows = asked.unionByName(history, allowMissingColumns=True).join(traits, "article_id", "left").repartition(*KEYS)
+    own = Window.partitionBy(*KEYS, "article_id")
+    rows = rows.withColumns({PAIR[0]: F.sum("__n").over(own), "__own": F.max("__last").over(own)})
     for trait, name in (("product_code", PAIR[2]), ("colour_group_name", PAIR[3]), ("department_name", PAIR[4])):
-        counted = enriched.where(F.col(trait).isNotNull()).groupBy(*KEYS, trait).agg(F.sum("n").alias(name))
-        pairs = pairs.join(counted, [*KEYS, trait], "left")
+        rows = rows.withColumn(name, F.when(F.col(trait).isNotNull(), F.sum("__n").over(Window.partitionBy(*KEYS, trait))))
+    pairs = rows.where("__asked").withColumn(PAIR[1], F.datediff("window_start", "__own").cast("long"))
+    pairs = pairs.select(*KEYS, "article_id", *keep, *PAIR[:5])
+    pairs = pairs.join(customers.select(*KEYS, "mean_purchase_price"), KEYS, "left").join(recent, KEYS, "left")
     prices = articles_before.select("window_start", "article_id", "article_mean_price")
-    pairs = pairs.join(customers.select(*KEYS, "mean_purchase_price"), KEYS, "left").join(prices, ["window_start", "article_id"], "left")
-    pairs = pairs.join(recent, KEYS, "left").join(vectors, "article_id", "left")
+    pairs = pairs.join(prices, ["window_start", "article_id"], "left").join(vectors, "article_id", "left")
     pairs = pairs.withColumn(PAIR[5], ratio(F.col("article_mean_price"), F.col("mean_purchase_price"))).withColumn(PAIR[6], cosine(F.col("vector"), F.col("recent_vector")))
-    return pairs.fillna(0, [PAIR[0], *PAIR[2:5]]).select(*KEYS, "article_id", *PAIR)
+    return pairs.fillna(0, [PAIR[0], *PAIR[2:5]]).select(*KEYS, "article_id", *keep, *PAIR)
 
 
-def provenance_features(candidates: DataFrame) -> DataFrame:
+def provenance_features(candidates: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Ranks as they are, and a flag for each strategy that proposed the pair."""
     flags = [F.array_contains("strategies", s).alias(f"from_{s}") for s in STRATEGIES]
-    return candidates.select(*KEYS, "article_id", "n_strategies", "best_rank", *[f"rank_{s}" for s in STRATEGIES], *flags)
+    return candidates.select(*KEYS, "article_id", "n_strategies", "best_rank", *[f"rank_{s}" for s in STRATEGIES], *flags, *keep)
 
 
 def assembled(pairs: DataFrame, provenance: DataFrame, customers: DataFrame, articles: DataFrame) -> DataFrame:
@@ -112,19 +115,22 @@ def assembled(pairs: DataFrame, provenance: DataFrame, customers: DataFrame, art
     return out.select(*KEYS, "article_id", *FEATURES)
 
 
+def _blocks(candidates: DataFrame, tx: DataFrame, articles: DataFrame, customers: DataFrame, vectors: DataFrame, starts: Sequence[Start], everyone: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """All features of the candidates in one pass over them: provenance is kept, not joined."""
+    who, what = customer_features(tx, customers, starts), article_features(everyone, articles, starts)
+    recent = recent_text_mean(tx, vectors, starts)
+    marked = provenance_features(candidates, keep)
+    pairs = pair_features(marked, tx, articles, who, what, vectors, recent, starts, [*PROVENANCE, *keep])
+    return pairs.join(who, KEYS, "left").join(what, ["window_start", "article_id"], "left").select(*KEYS, "article_id", *FEATURES, *keep)
+
+
 def build(candidates: DataFrame, tx: DataFrame, articles: DataFrame, customers: DataFrame, vectors: DataFrame, starts: Sequence[Start]) -> DataFrame:
     """All features of the candidates of the given windows."""
-    who, what = customer_features(tx, customers, starts), article_features(tx, articles, starts)
-    recent = recent_text_mean(tx, vectors, starts)
-    return assembled(pair_features(candidates, tx, articles, who, what, vectors, recent, starts), provenance_features(candidates), who, what)
+    return _blocks(candidates, tx, articles, customers, vectors, starts, tx)
 
 
 def training_matrix(labelled: DataFrame, tx: DataFrame, articles: DataFrame, customers: DataFrame, vectors: DataFrame, starts: Sequence[Start]) -> DataFrame:
     """Features of the labelled pairs only, with their labels."""
     some = customers.join(labelled.select("customer_id").distinct(), "customer_id", "left_semi")
     scoped = tx.join(some.select("customer_id"), "customer_id", "left_semi")
-    who, what = customer_features(scoped, some, starts), article_features(tx, articles, starts)
-    recent = recent_text_mean(scoped, vectors, starts)
-    pairs = pair_features(labelled, scoped, articles, who, what, vectors, recent, starts)
-    out = assembled(pairs, provenance_features(labelled), who, what)
-    return out.join(labelled.select(*KEYS, "article_id", "label"), [*KEYS, "article_id"])
+    return _blocks(labelled, scoped, articles, some, vectors, starts, tx, ["label"])
