@@ -39,12 +39,21 @@ def repurchases(tx: DataFrame, starts: Sequence[Start], cap: int | None = CAPS["
 
 
 def colour_variants(tx: DataFrame, articles: DataFrame, starts: Sequence[Start], cap: int | None = CAPS["colour_variant"], customers: DataFrame | None = None) -> DataFrame:
-    """Other articles of the products a customer bought, by the latest such purchase."""
+    """Other articles of the products a customer bought, by the latest such purchase.
+
+    An article's latest source is the product's latest bought article, or the
+    next if that is the article itself. So two purchases of a product are
+    enough, and rows are made for articles to propose, not for pairs of them.
+    """
     last = in_windows(_limited(tx, customers), starts, YEAR).groupBy(*KEYS, "article_id").agg(F.max("t_dat").alias("t_dat"))
     product = articles.select("article_id", "product_code")
-    pairs = product.join(product.withColumnRenamed("article_id", "variant"), "product_code").where("variant != article_id").select("article_id", "variant")
-    met = last.join(pairs, "article_id").groupBy(*KEYS, F.col("variant").alias("article_id")).agg(F.max("t_dat").alias("t_dat"))
-    return _ranked(met, [F.desc("t_dat"), F.col("article_id")], cap)
+    bought = last.join(product, "article_id").where("product_code IS NOT NULL")
+    two = top_k(bought, [*KEYS, "product_code"], [F.desc("t_dat"), F.col("article_id")], 2, "__k")
+    sources = two.groupBy(*KEYS, "product_code").agg(
+        F.max(F.when(F.col("__k") == 1, F.struct("t_dat", "article_id"))).alias("first"), F.max(F.when(F.col("__k") == 2, F.col("t_dat"))).alias("next")
+    )
+    met = sources.join(product, "product_code").withColumn("t_dat", F.when(F.col("article_id") == F.col("first.article_id"), F.col("next")).otherwise(F.col("first.t_dat")))
+    return _ranked(met.where("t_dat IS NOT NULL"), [F.desc("t_dat"), F.col("article_id")], cap)
 
 
 def recent_top(tx: DataFrame, starts: Sequence[Start], cap: int | None = CAPS["recent_popularity"]) -> DataFrame:

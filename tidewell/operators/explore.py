@@ -33,7 +33,7 @@ def lorenz(tx: DataFrame) -> DataFrame:
     counts = tx.groupBy("article_id").agg(F.count("*").alias("n")).withColumn("__less", -F.col("n"))
     ranked = global_rank(counts, ["__less", "article_id"], "i")
     sums = F.broadcast(counts.agg(F.count("*").alias("articles"), F.sum("n").alias("total")).withColumn("one", F.lit(1)))
-    # articles with equal counts are one step, so the sums over steps stay few
+    # articles with equal counts are one step; k different counts need k * (k + 1) / 2 purchases, so steps stay few
     steps = ranked.groupBy("n").agg(F.count("*").alias("k"), F.min("i").alias("i0"))
     before = steps.withColumn("above", F.coalesce(F.sum(F.col("n") * F.col("k")).over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     met = ranked.join(F.broadcast(before.select("n", "i0", "above")), "n").withColumn("one", F.lit(1)).join(sums, "one")

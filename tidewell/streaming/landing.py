@@ -1,7 +1,7 @@
 """Transactions that arrive as files: each micro-batch is validated and appended.
 
-The reference semantics are batch; this only feeds the batch operators. A batch
-is written under its number, so that a repeated batch replaces itself.
+The retail semantics are batch; this only feeds the batch operators. A batch is
+written under its number, so that a repeated batch replaces itself.
 """
 
 from __future__ import annotations
