@@ -302,9 +302,9 @@ def test_training_is_the_same_twice_and_counts_trees(spark):
     df = spark.createDataFrame(rows, cols).withColumns({c: F.lit(None).cast("string") for c in features.CATEGORICAL if c != "age_bucket"})
     names = ["best_rank", "age_bucket"]
     one, two = (models.train(df, 4, features=names) for _ in range(2))
-    assert one.losses == two.losses and one.model.getNumTrees == one.losses.index(min(one.losses)) + 1
-    a, b = (sorted(map(tuple, models.scored(t, df, features=names).collect())) for t in (one, two))
-    assert a == b and len(a) == 210
+    assert one.losses == pytest.approx(two.losses) and one.model.getNumTrees == one.losses.index(min(one.losses)) + 1
+    a, b = ({r.customer_id: r.raw_prob for r in models.scored(t, df, features=names).collect()} for t in (one, two))
+    assert a == pytest.approx(b, abs=1e-6) and len(a) == 210  # sums depend on the order of tasks
     histogram = models.score_distributions(models.scored(one, df, features=names), "raw_prob")
     assert histogram.agg(F.sum("n")).first()[0] == 210
 
