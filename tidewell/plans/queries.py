@@ -41,9 +41,14 @@ def query(f: Callable[[Retail], DataFrame]) -> Callable[[Retail], DataFrame]:
     return f
 
 
+#: Means of prices often end in a 5 after four digits; this decides those ties alike in any order of sums.
+NUDGE = 1e-7
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded, since sums of them depend on order."""
-    return df.select(*[F.round(F.col(f"`{c}`").cast("double"), digits).alias(c) if t in ("double", "float") else F.col(f"`{c}`") for c, t in df.dtypes])
+    """Doubles rounded, since sums of them depend on order; four digits are for prices."""
+    value = lambda c: F.col(f"`{c}`").cast("double") + (NUDGE if digits == 4 else 0.0)
+    return df.select(*[F.round(value(c), digits).alias(c) if t in ("double", "float") else F.col(f"`{c}`") for c, t in df.dtypes])
 
 
 def joined_strategies(df: DataFrame) -> DataFrame:

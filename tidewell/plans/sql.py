@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from tidewell.operators import candidates, drift, features, offers
-from tidewell.plans.queries import BACK, CATEGORIES, NUMERIC, SQL_STRATEGIES, TRAIN, WS
+from tidewell.plans.queries import BACK, CATEGORIES, NUDGE, NUMERIC, SQL_STRATEGIES, TRAIN, WS
 
 W = f"DATE '{WS}'"
 RECENCY = "CASE WHEN {d} IS NULL THEN 'never' WHEN {d} <= 7 THEN '<=1 week' WHEN {d} <= 28 THEN '<=4 weeks' WHEN {d} <= 84 THEN '<=12 weeks' WHEN {d} <= 364 THEN '<=52 weeks' ELSE '>52 weeks' END"
@@ -360,3 +360,5 @@ DATES: dict[str, tuple[str, ...]] = {
     "x_repurchase_rate": ("week",),
 }
 ORACLES |= {n: f"SELECT * REPLACE ({', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in columns)}) FROM (\n{ORACLES[n]}\n)" for n, columns in DATES.items()}
+# values rounded to four digits are prices, whose ties are decided as the queries do
+ORACLES = {n: q.replace(", 4) AS ", f" + {NUDGE!r}, 4) AS ") for n, q in ORACLES.items()}
