@@ -6,8 +6,12 @@ import math
 
 import duckdb
 import pytest
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.recommendation import ALS
+from pyspark.sql import functions as F
 
 import __spark_entry__
+from tidewell.operators import models
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 ORACLES = __spark_entry__.oracle_sql()
@@ -55,3 +59,38 @@ def test_plans(spark, sf_dir):
 
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
+
+
+class Asked(Exception):
+    """Raised in a fit's place, with the sizes it was asked for."""
+
+
+@pytest.mark.parametrize("name, rank, rounds", [("c_als", 64, 15), ("c_pool_with_als", 64, 15)])
+def test_als_queries_fit_the_full_model(spark, sf_dir, monkeypatch, name, rank, rounds):
+    def fit(self, *_):
+        raise Asked(self.getRank(), self.getMaxIter())
+
+    monkeypatch.setattr(ALS, "fit", fit)
+    with pytest.raises(Asked) as asked:
+        __spark_entry__.queries()[name](spark, sf_dir)
+    assert asked.value.args == (rank, rounds)
+
+
+@pytest.mark.parametrize("name, trees, probes", [("m_train", 500, True), ("m_top12", 500, True), ("x_importances", 500, True), ("m_train_backtest", 212, False)])
+def test_tree_queries_train_the_full_model(spark, sf_dir, monkeypatch, name, trees, probes):
+    """The first fit is the probe, without the last window; the backtest has no probe."""
+    real = models.train
+
+    def train(matrix, *args, **more):
+        last.append(matrix.agg(F.max("window_start")).first()[0])
+        return real(matrix, *args, **more)
+
+    def fit(self, df, *_):
+        raise Asked(self.getMaxIter(), df.agg(F.max("window_start")).first()[0] < last[0])
+
+    last = []
+    monkeypatch.setattr(models, "train", train)
+    monkeypatch.setattr(GBTClassifier, "fit", fit)
+    with pytest.raises(Asked) as asked:
+        __spark_entry__.queries()[name](spark, sf_dir)
+    assert asked.value.args == (trees, probes)

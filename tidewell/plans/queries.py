@@ -23,8 +23,8 @@ TRAIN = periods.train_starts(ANCHOR)
 KEYS = candidates.KEYS
 #: Strategies whose candidates SQL can compute.
 SQL_STRATEGIES = candidates.STRATEGIES[:4]
-#: Trees and factors of the registered model queries.
-TREES, FACTORS, ROUNDS = 10, 16, 5
+#: Trees of the backtest's ranker, which has no probe.
+BACKTEST_TREES = 212
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -641,7 +641,7 @@ def x_sensitivity_pivot(r: Retail) -> DataFrame:
 
 
 def als_of(r: Retail) -> DataFrame:
-    return als.recommend(als.fit(r.tx, WS, FACTORS, ROUNDS), WS)
+    return als.recommend(als.fit(r.tx, WS), WS)
 
 
 @query
@@ -656,24 +656,24 @@ def c_pool_with_als(r: Retail) -> DataFrame:
 
 @query
 def m_train(r: Retail) -> DataFrame:
-    got = models.train(matrix_of(r), TREES)
+    got = models.train(matrix_of(r))
     return r.tx.sparkSession.createDataFrame([(k + 1, x, k + 1 == got.model.getNumTrees) for k, x in enumerate(got.losses)], "trees int, loss double, chosen boolean")
 
 
 @query
 def m_train_backtest(r: Retail) -> DataFrame:
-    got = models.train(matrix_of(r, tuple(TRAIN[:3])), trees=5)
+    got = models.train(matrix_of(r, tuple(TRAIN[:3])), trees=BACKTEST_TREES)
     return models.importances(got)
 
 
 @query
 def m_top12(r: Retail) -> DataFrame:
-    return models.top12(models.train(matrix_of(r), trees=5), features.build(pool_of(r), r.tx, r.articles, r.customers, r.vectors, [WS]))
+    return models.top12(models.train(matrix_of(r)), features.build(pool_of(r), r.tx, r.articles, r.customers, r.vectors, [WS]))
 
 
 @query
 def x_importances(r: Retail) -> DataFrame:
-    return models.importances(models.train(matrix_of(r), trees=5))
+    return models.importances(models.train(matrix_of(r)))
 
 
 @query
