@@ -156,6 +156,25 @@ def test_redaction_of_added_spans(spark, monkeypatch, inline):
     assert out[5] == "He said: please CALL ME: on [PHONE] tomorrow" and out[6] == "no context 555-201-34" and out[0] == "Hello. Please call me on [PHONE], thanks"
 
 
+LABELS = [
+    ("Fax: 030-987654", "Fax: [PHONE]"),
+    ("Tel: 030-123456, Fax: 030-987654.", "Tel: [PHONE], Fax: [PHONE]."),
+    ("please call me on 123 456 789, thanks", "please call me on [PHONE], thanks"),
+    ("please call me on (030/12 34 56)", "please call me on ([PHONE])"),
+    ("please call me on 12 345x1", "please call me on 12 345x1"),
+    ("please call me on 123456 10.0.0.1", "please call me on [PHONE] [IP]"),
+    ("Note: 030-987654\nFax 12", "Note: 030-987654\nFax 12"),
+]
+
+
+@pytest.mark.parametrize("inline", [500, -1])
+def test_one_label_and_spaced_identifiers(spark, monkeypatch, inline):
+    monkeypatch.setattr(pii, "INLINE", inline)
+    seeds = [f"Tel: +49 30 12345{k:02d}, Fax: +49 30 76543{k:02d}\nFax: +49 30 55543{k:02d}\nplease call me on +49 30 99943{k:02d}" for k in range(20)]
+    out = pii.redact(texts_frame(spark, seeds + [t for t, _ in LABELS])).orderBy("doc_id").collect()
+    assert [r.text for r in out[20:]] == [want for _, want in LABELS]
+
+
 # --- WARC
 
 

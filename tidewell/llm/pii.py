@@ -3,8 +3,10 @@
 All of it is DataFrame functions. Base matches are found with linear-time forms
 of the patterns; their places come from the lengths of what lies before them.
 
-Bootstrapping: every word with a digit or an @ is an instance, and the two words
-before it in its line are its pattern. Instances inside base matches are seeds. Spark scores
+Bootstrapping: every word with a digit or an @ is an instance, groups of digits
+with a space between them are one, and the two words before it in its line are
+its pattern. With one word before it, the line's start or the instance before
+stands for the other. Instances inside base matches are seeds. Spark scores
 the pattern-instance graph in rounds: a pattern's confidence for a kind is the
 share of its occurrences that known instances of the kind make, with a least
 number of different known instances; an instance is known with the combined
@@ -31,8 +33,12 @@ BASE = {
 }
 #: A text without this has no match of the kind.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-#: A word with a digit or an @.
-WORD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+#: A group of digits, no IP address, that ends where a word does, but for closing marks.
+GROUP = r"(?![0-9]++(?:\.[0-9]++){3})[0-9]++(?:[./-][0-9]++)*+(?=[.,;:!?)\]}\"']*+(?:[\x20\x09-\x0D]|\z))"
+#: Groups of digits with a space between them, or else a word with a digit or an @.
+WORD = rf"(?<![^\x20\x09-\x0D])(?:[^\x20\x09-\x0D0-9@\p{{L}}]*+{GROUP}(?:\x20{GROUP})++|[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+)"
+#: What stands in a pattern for a missing second word: the line's start or the instance before.
+LINE_START, INSTANCE = "^", "#"
 LEAST_SEEDS = 3
 LEAST_CONFIDENCE = 0.8
 ROUNDS = 3
@@ -116,11 +122,13 @@ def base_spans(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def _instance(w: Column) -> tuple[Column, Column, Column, Column]:
-    """Pattern (null without two words before), value, start and end of a word's identifier."""
+    """Pattern (null without a word before), value, start and end of a word's identifier."""
     # the words before: of the piece between this word and the last one, in its line
     left = F.element_at(F.split(w["before"], "\n", -1), -1)
     words = F.filter(F.split(F.lower(left), r"[^\p{L}]+", -1), lambda x: x != "")
-    context = F.when(F.size(words) >= 2, F.concat_ws(" ", F.slice(words, -2, 2)))
+    opens = (w["start"] == F.length(w["before"])) | F.contains(w["before"], F.lit("\n"))
+    edge = F.when(opens, F.lit(LINE_START)).otherwise(F.lit(INSTANCE))
+    context = F.when(F.size(words) >= 2, F.concat_ws(" ", F.slice(words, -2, 2))).when(F.size(words) == 1, F.concat_ws(" ", edge, F.get(words, F.lit(0))))
     core = F.regexp_extract(w["value"], r"[\p{L}0-9+].*(?<=[\p{L}0-9])", 0)
     start = w["start"] + F.length(F.regexp_extract(w["value"], r"\A[^\p{L}0-9+]*+", 0))
     return context, F.lower(core), start, start + F.length(core)
