@@ -66,6 +66,24 @@ def test_awkward_pages(page, text):
     assert html_extract.main_text(page) == text
 
 
+PROSE = "Earlier papers treat the same case with other means and less data, and so on."
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<body><div><section><p>" + "a, " * 8 + "b</p></section><section><p>" + "c, " * 5 + "d</p></section></div></body>", "a, " * 8 + "b\n" + "c, " * 5 + "d"),
+        ("<body><div><section><p>" + "a, " * 90 + "b</p></section><section><p>short</p></section></div></body>", "a, " * 90 + "b\nshort"),
+        ("<body><section><p>" + "a, " * 8 + "b</p></section><section><p>" + "c, " * 5 + "d</p></section></body>", "a, " * 8 + "b\n" + "c, " * 5 + "d"),
+        (f"<article><p>x, y</p><section id='related-work'><h2 id=notice>Notice</h2><p>{PROSE}</p></section></article>", f"x, y\nNotice\n{PROSE}"),
+        ("<article><p>x, y</p><div class=related><a href=1>one two three four five six</a> <a href=2>seven eight nine ten eleven twelve thirteen</a></div></article>", "x, y"),
+        (f"<article><p>x, y</p><div class=comments><p>{PROSE}</p></div></article><div class=related><p>{PROSE}</p></div>", "x, y"),
+    ],
+)
+def test_parts_of_the_article_stay(page, text):
+    assert html_extract.main_text(page) == text
+
+
 def test_long_and_deep_pages_take_linear_time():
     deep = "<div>" * 30_000 + "<p>a, b</p>" + "<b>" * 30_000
     assert html_extract.main_text(deep) == "a, b"

@@ -48,6 +48,11 @@ DROP_ROLES = frozenset("navigation banner contentinfo complementary search dialo
 DROP_NAMES = frozenset("ad ads adv advert adverts advertisement advertising adbox adslot adsense alert sponsor sponsored promo promotion promotions banner cookie cookies consent gdpr notice notices notification notifications popup modal overlay newsletter subscribe subscription signup share sharing social related recommended recommendations menu submenu mainmenu nav navbar topnav subnav sidenav navigation navi breadcrumb breadcrumbs pagination pager footer masthead toolbar sidebar aside widget widgets login search skip comment comments commentlist discussion disqus respond reply replies outbrain taboola topbar toplinks sitenav rail".split())
 #: Of these, the words that do so anywhere in a name.
 DROP_ANYWHERE = frozenset("ad ads advert advertisement comments cookie navbar newsletter sidebar sponsored".split())
+#: Of these, the words that also name parts of an article; inside one they need more than the name.
+MAY_BE_TEXT = frozenset("alert notice notices related recommended promotion promotions social search share sharing subscription notification notifications discussion reply respond banner skip login".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Words outside links, and their share of all, from which a part so named is text.
+LEAST_WORDS, LEAST_SHARE = 12, 0.75
 GOOD_NAMES = frozenset("article post story content entry body main text page hentry".split())
 #: Words that turn a name into a statement about the layout.
 LAYOUT = frozenset("has no with without show hide is".split())
@@ -194,6 +199,11 @@ def _names(node: Node) -> list[str]:
 
 def is_dropped(node: Node) -> bool:
     """Whether the part is none of the article by tag, role, class, id or being hidden."""
+    return _is_marked(node) or _is_named(node, DROP_NAMES)
+
+
+def _is_marked(node: Node) -> bool:
+    """Whether it is none of the article by tag, role or being hidden."""
     tag, a = node.tag, node.attributes
     if tag in DROP_TAGS:
         return True
@@ -201,11 +211,16 @@ def is_dropped(node: Node) -> bool:
         return False
     if "hidden" in a or a.get("aria-hidden", "").lower() == "true" or _HIDDEN.search(a.get("style", "")):
         return True
-    if a.get("role", "").lower() in DROP_ROLES:
-        return True
+    return a.get("role", "").lower() in DROP_ROLES
+
+
+def _is_named(node: Node, ends: frozenset[str]) -> bool:
+    """Whether a class or id starts or ends with one of ``ends``, or has one of DROP_ANYWHERE."""
+    if not node.attributes or node.tag in KEEP_TAGS:
+        return False
     for name in _names(node):
         parts = [x for x in _PARTS.split(name) if x]
-        if parts and LAYOUT.isdisjoint(parts) and (parts[0] in DROP_NAMES or parts[-1] in DROP_NAMES or not DROP_ANYWHERE.isdisjoint(parts)):
+        if parts and LAYOUT.isdisjoint(parts) and (parts[0] in ends or parts[-1] in ends or not DROP_ANYWHERE.isdisjoint(parts)):
             return True
     return False
 
@@ -221,9 +236,10 @@ def prune(root: Node) -> list[Node]:
     article cannot be without it.
     """
     holds: set[int] = set()  # nodes with an article or main element below
-    stack = [root]
+    every, stack = [], [root]
     while stack:
         node = stack.pop()
+        every.append(node)
         for child in node.children:
             if isinstance(child, Node):
                 if _is_article(child) and not is_dropped(child):
@@ -232,15 +248,42 @@ def prune(root: Node) -> list[Node]:
                         holds.add(id(up))
                         up = up.parent
                 stack.append(child)
-    order, stack = [], [root]
-    while stack:
-        node = stack.pop()
+    words = _words(every) if holds else {}
+
+    def goes(node: Node, inside: bool) -> bool:
+        if not is_dropped(node) or id(node) in holds and (node.tag == "form" or node.tag not in DROP_TAGS):
+            return False
+        if not inside or _is_marked(node) or node.tag not in HEADINGS and _is_named(node, DROP_NAMES - MAY_BE_TEXT):
+            return True
+        free, linked = words[id(node)]
+        return free < (1 if node.tag in HEADINGS else LEAST_WORDS) or free < LEAST_SHARE * (free + linked)
+
+    order, todo = [], [(root, False)]
+    while todo:
+        node, inside = todo.pop()
+        inside = inside or _is_article(node)
         order.append(node)
-        node.children = [c for c in node.children if isinstance(c, str) or not is_dropped(c) or (id(c) in holds and (c.tag == "form" or c.tag not in DROP_TAGS))]
-        stack += [c for c in node.children if isinstance(c, Node)]
+        node.children = [c for c in node.children if isinstance(c, str) or not goes(c, inside)]
+        todo += [(c, inside) for c in node.children if isinstance(c, Node)]
     return order
 
 
+def _words(every: list[Node]) -> dict[int, tuple[int, int]]:
+    """Words outside and inside links of every node; ``every`` has parents first."""
+    found: dict[int, tuple[int, int]] = {}
+    for node in reversed(every):
+        free = linked = 0
+        if node.tag not in DROP_TAGS:
+            for child in node.children:
+                if isinstance(child, str):
+                    free += len(child.split())
+                else:
+                    x, y = found[id(child)]
+                    free, linked = free + x, linked + y
+        found[id(node)] = (0, free + linked) if node.tag == "a" else (free, linked)
+    return found
+
+
 def score(order: list[Node]) -> None:
     """Points, characters and linked characters of every node."""
     for node in reversed(order):  # children first
@@ -271,6 +314,16 @@ def _prior(node: Node) -> float:
     return 10.0 if any(p in GOOD_NAMES for name in _names(node) for p in _PARTS.split(name)) else 0.0
 
 
+def _has_paragraph(node: Node) -> bool:
+    stack = [node]
+    while stack:
+        node = stack.pop()
+        if node.tag in ("p", "pre", "blockquote") and node.chars:
+            return True
+        stack += [c for c in node.children if isinstance(c, Node)]
+    return False
+
+
 def choose(order: list[Node]) -> list[Node]:
     """The best container and the siblings that belong to it, in page order."""
     best, most = None, 0.0
@@ -300,8 +353,11 @@ def choose(order: list[Node]) -> list[Node]:
             elif node.tag in ("h1", "h2"):
                 alike = density < 0.5
             else:
-                named = node.tag == best.tag and node.attributes.get("class") and node.attributes.get("class") == best.attributes.get("class")
-                alike = density < 0.25 and (bool(named) or node.points * (1 - density) >= max(10.0, 0.2 * best.points))
+                # without a class, parts of one container are alike, but parts of the page need points
+                same = node.tag == best.tag and node.attributes.get("class") == best.attributes.get("class")
+                same = same and (bool(best.attributes.get("class")) or best.parent.tag not in ("body", "#root") and node.points > 0)
+                points = node.points * (1 - density)
+                alike = density < 0.25 and (same or points >= 0.2 * best.points and (points >= 10.0 or _has_paragraph(node)))
             if alike:
                 kept.append(node)
     return kept
