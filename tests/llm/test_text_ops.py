@@ -368,3 +368,12 @@ def test_simhash_of_awkward_tables(spark):
     assert simhash.near_duplicates(frame(spark, [])).count() == 0
     again = spark.createDataFrame([(1, "same row"), (1, "same row"), (None, "same row")], "doc_id long, text string")
     assert [(r.doc_id, r.component_id) for r in simhash.near_duplicates(again).orderBy("doc_id").collect()] == [(None, 1), (1, 1), (1, 1)]
+
+
+@pytest.mark.parametrize("broadcast", [simhash.BROADCAST, -1])
+def test_one_row_of_each_component_stays(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(simhash, "BROADCAST", broadcast)
+    one, two, three, four = (" ".join(f"{w}{k}" for k in range(30)) for w in ("ant", "bee", "cat", "dog"))
+    rows = [(3, one, "c"), (5, one, "c"), (5, two, "b"), (7, two, "a"), (None, three, "b"), (None, three, "a"), (9, four, "b"), (9, four, "a"), (None, four, "0"), (8, None, "x")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(3, one, "c"), (5, two, "b"), (None, three, "a"), (9, four, "a"), (8, None, "x")], key=str)

@@ -33,7 +33,7 @@ SEED = 42
 RADIUS = 2
 #: Members of a shard beyond which it is dealt again by more bits.
 SHARD = 4096
-#: Documents to remove up to which their ids are broadcast (16 MB); more are joined by id.
+#: Documents to remove up to which their ids and text hashes are broadcast; more are joined by them.
 BROADCAST = 1_000_000
 #: Hashes whose bits are counted at once.
 CHUNK = 1 << 15
@@ -65,14 +65,18 @@ def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def fingerprints(documents: DataFrame) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long. A null text has no words."""
+    """doc_id, text_hash and fp, the fingerprint as a signed long. A null text has no words."""
 
     def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-        for doc_id, raw in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
-            yield doc_id, signed(fingerprint(raw))
+        for doc_id, raw, text_hash in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+            yield doc_id, text_hash, signed(fingerprint(raw))
 
-    return arrow_map(documents.select("doc_id", "text"), rows, "doc_id long, fp long")
+    return arrow_map(documents.select("doc_id", "text", _text_hash().alias("text_hash")), rows, "doc_id long, text_hash long, fp long")
 
 
 class BKTree:
@@ -229,13 +233,23 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     component_id but keeps its row. An empty table gives no rows; further columns
     are ignored.
     """
+    return _grouped(documents).select("doc_id", "fp", "component_id")
+
+
+#: Order of a component's rows: by doc_id, those without one last, then by text.
+FIRST = ("no_id", "doc_id", "text_hash")
+
+
+def _grouped(documents: DataFrame) -> DataFrame:
+    """doc_id, text_hash, fp, component_id, the component's first row by FIRST and its number of rows."""
     prints = written(fingerprints(documents), "prints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min(order).alias("best"), F.count("*").alias("n"))
     roots = components(links(nodes))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = rooted.join(named, "root").select("fp", "component_id")
-    return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
+    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first", "best", "n", F.coalesce("root", "fp").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.min("best").alias("best"), F.sum("n").alias("n"))
+    labels = rooted.select("fp", "root").join(named, "root").select("fp", "component_id", "best", "n")
+    return prints.join(labels, "fp").select("doc_id", "text_hash", "fp", "component_id", "best", "n")
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -244,10 +258,27 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """The documents without those that have a smaller doc_id in their component.
+    """One row of each component: that of the smallest doc_id, rows without one last, then of the least text hash.
 
-    Of repeated rows with one doc_id all stay: they are the same document.
+    Rows are told apart by doc_id and text, so a doc_id in several components
+    loses only the rows that are not first in theirs. Of repeated rows of one
+    doc_id and text the least by the values of all columns stays.
     """
-    rest = near_duplicates(documents).where("doc_id != component_id").select("doc_id").distinct()
-    rest = written(rest, "removed")
-    return documents.join(F.broadcast(rest) if rest.count() <= BROADCAST else rest, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
+    several = _grouped(documents).where("n > 1").withColumn("stays", F.col("best")["doc_id"].eqNullSafe(F.col("doc_id")) & (F.col("best")["text_hash"] == F.col("text_hash")))
+    keys = several.groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).agg(F.first("stays").alias("__stays"), F.count("*").alias("__n"))
+    keys = written(keys.where("NOT __stays OR __n > 1"), "removed")
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+
+    def matched(part: DataFrame, how: str) -> DataFrame:
+        part = part.select("__doc", "__hash")
+        at = documents["doc_id"].eqNullSafe(F.col("__doc")) & (_text_hash() == F.col("__hash"))
+        return documents.join(F.broadcast(part) if few else part, at, how).select(*columns)
+
+    few = keys.count() <= BROADCAST
+    once = matched(keys, "left_anti")
+    repeated = keys.where("__stays")
+    if repeated.isEmpty():
+        return once
+    again = matched(repeated, "left_semi")
+    least = again.groupBy("doc_id", _text_hash().alias("__hash")).agg(F.min(F.struct(*columns)).alias("__row"))
+    return once.unionByName(least.select("__row.*"))
