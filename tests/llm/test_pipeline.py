@@ -21,13 +21,13 @@ def plain(spark, sf_dir):
     for r in docs:
         n, hit, *_ = decontamination.brute_force(r.text, items)
         if not (hit > 0 and 20 * hit >= n):
-            texts[r.doc_id] = masked(r.text)
-    return texts
+            texts[r.doc_id] = r.text
+    return dict(zip(texts, map(masked, texts.values(), brute.pii_added(list(texts.values()))), strict=True))
 
 
-def masked(text):
+def masked(text, added=()):
     out, at = [], 0
-    for kind, a, b in sorted(brute.pii_spans(text), key=lambda s: (s[1], -s[2])):
+    for kind, a, b in sorted([*brute.pii_spans(text), *added], key=lambda s: (s[1], -s[2])):
         if a >= at:
             out.append(text[at:a] + f"[{kind.upper()}]")
         at = max(at, b)

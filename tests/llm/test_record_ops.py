@@ -130,6 +130,23 @@ def test_random_texts_match_brute_force(spark):
         assert ([r.n_email, r.n_ip, r.n_card, r.n_phone], r.base_sha256, r.spans) == (counts, sha, listed), t
 
 
+def listed(text, added):
+    every = brute.pii_spans(text) + added
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(every, key=lambda x: (brute.NAMES.index(x[0]), *x[1:])))
+
+
+def test_added_spans_match_a_plain_scorer(spark, sf_dir):
+    random.seed(8)
+    names, marks = ["+49 30 {:07d}", "a{}@host.org", "10.0.{}.1", "{:08d}", '"{:040x}"'], ["call", "me", "on", "token", "=", "at", "ok,", "x1"]
+    mixed = [" ".join(random.choice(marks) if random.random() < 0.75 else random.choice(names).format(random.randrange(200)) for _ in range(30)).replace("ok,", random.choice(["ok,", "\n"])) for _ in range(300)]
+    shop = [r.text for r in read(spark, sf_dir, "documents").select("text").collect()] + LABELS_TEXTS + mixed
+    added = brute.pii_added(shop)
+    assert any(k != "secret" for x in added for k, *_ in x)
+    got = pii.digest(pii.find(texts_frame(spark, shop))).orderBy("doc_id").collect()
+    for t, x, r in zip(shop, added, got, strict=True):
+        assert r.spans == listed(t, x), t
+
+
 def contexts(spark):
     texts = [f"Hello. Please call me on +49 30 12345{k:02d}, thanks" for k in range(5)]
     texts += ["He said: please CALL ME: on 555-201-34 tomorrow", "no context 555-201-34", "call me on time 5", "the year 1999 was good"]
@@ -149,24 +166,42 @@ def test_a_round_carries_trust_to_new_contexts(spark):
     texts += [f"ring me on 777-000-{k}0 now" for k in range(10)]
     texts += [f"my extension is 777-000-{k}0 now" for k in range(10)] + ["my extension is 888-111-22"]
     instances = pii._instances(pii.base_spans(texts_frame(spark, texts)))
-    assert {r.pattern: r.kind for r in pii.patterns(instances, rounds=1).collect()} == {"me on": 3}
-    assert {r.pattern: r.kind for r in pii.patterns(instances, rounds=3).collect()} == {"me on": 3, "extension is": 3}
+    first = {"me on": 3, "ring me on _": 3, "on _": 3, "on +9 9 9": 3}
+    assert {r.pattern: r.kind for r in pii.patterns(instances, rounds=1).collect()} == first
+    second = {"extension is": 3, "my extension is _": 3, "is _": 3, "is 9-9-9": 3, "on 9-9-9": 3, "_ now": 3, "on _ now": 3, "is _ now": 3}
+    got = {r.pattern: (r.kind, r.useful) for r in pii.patterns(instances, rounds=3).collect()}
+    assert {k: v for k, (v, _) in got.items()} == {**first, **second} and got["is _"][1] and not got["on +9 9 9"][1]
     assert pii.digest(pii.find(texts_frame(spark, texts))).where("doc_id = 120").first().spans == "phone:16:26"
 
 
-def test_redaction(spark):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, __marks int"
+@pytest.mark.parametrize("inline", [500, -1])
+def test_redaction(spark, monkeypatch, inline):
+    monkeypatch.setattr(pii, "INLINE", inline)
+    extra = "__marks __doc __hash __h __kept __m marks shown hash of every spans words found_in".split()
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` int" for c in extra)
     texts = ["é me@host.org and 10.0.0.1.", None, "", "clean", "9.9.9.9@x.yy z", "+1 555 123 4567, 4111111111111111"]
-    docs = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t), 5) for i, t in enumerate(texts)], schema).drop("__marks")
+    docs = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t), *range(len(extra))) for i, t in enumerate(texts)], schema)
     twice = docs.unionByName(docs)
-    out = pii.redact(twice).orderBy("doc_id").collect()
+    got = pii.redact(twice)
+    assert got.dtypes == docs.dtypes
+    out = got.orderBy("doc_id").collect()
     assert [r.text for r in out[::2]][:5] == ["é [EMAIL] and [IP].", None, "", "clean", "[EMAIL] z"]
     assert out[10].text == "[PHONE], [CARD]"
     assert [r.n_chars for r in out[::2]][:4] == [len("é [EMAIL] and [IP]."), None, 0, 5]
-    assert out[0] == out[1] and len(out) == 2 * len(texts)
+    assert out[0] == out[1] and len(out) == 2 * len(texts) and {tuple(r)[5:] for r in out} == {tuple(range(len(extra)))}
     assert pii.redact(docs.limit(0)).count() == 0
 
 
+HEX = "0123456789abcdef0123456789abcdef"
+
+
+@pytest.mark.parametrize("inline", [500, -1])
+def test_contexts_find_unseen_secrets(spark, monkeypatch, inline):
+    monkeypatch.setattr(pii, "INLINE", inline)
+    texts = [f'w{k} here token = "{k:02d}{HEX}" and so on' for k in range(12)] + [f"NOW TOKEN = '{HEX.upper()}'!!", "the token is 12", f"a commit {HEX} only"]
+    assert [r.text for r in pii.redact(texts_frame(spark, texts)).orderBy("doc_id").collect()] == [*[f'w{k} here token = "[SECRET]" and so on' for k in range(12)], "NOW TOKEN = '[SECRET]'!!", *texts[-2:]]
+
+
 @pytest.mark.parametrize("inline", [500, -1])
 def test_redaction_of_added_spans(spark, monkeypatch, inline):
     monkeypatch.setattr(pii, "INLINE", inline)
@@ -174,6 +209,7 @@ def test_redaction_of_added_spans(spark, monkeypatch, inline):
     assert out[5] == "He said: please CALL ME: on [PHONE] tomorrow" and out[6] == "no context 555-201-34" and out[0] == "Hello. Please call me on [PHONE], thanks"
 
 
+SEEDS = [f"Tel: +49 30 12345{k:02d}, Fax: +49 30 76543{k:02d}\nFax: +49 30 55543{k:02d}\nplease call me on +49 30 99943{k:02d}" for k in range(20)]
 LABELS = [
     ("Fax: 030-987654", "Fax: [PHONE]"),
     ("Tel: 030-123456, Fax: 030-987654.", "Tel: [PHONE], Fax: [PHONE]."),
@@ -188,11 +224,13 @@ LABELS = [
 @pytest.mark.parametrize("inline", [500, -1])
 def test_one_label_and_spaced_identifiers(spark, monkeypatch, inline):
     monkeypatch.setattr(pii, "INLINE", inline)
-    seeds = [f"Tel: +49 30 12345{k:02d}, Fax: +49 30 76543{k:02d}\nFax: +49 30 55543{k:02d}\nplease call me on +49 30 99943{k:02d}" for k in range(20)]
-    out = pii.redact(texts_frame(spark, seeds + [t for t, _ in LABELS])).orderBy("doc_id").collect()
+    out = pii.redact(texts_frame(spark, SEEDS + [t for t, _ in LABELS])).orderBy("doc_id").collect()
     assert [r.text for r in out[20:]] == [want for _, want in LABELS]
 
 
+LABELS_TEXTS = [*SEEDS, *(t for t, _ in LABELS)]
+
+
 # --- WARC
 
 

@@ -134,7 +134,7 @@ def format_records(records: DataFrame) -> DataFrame:
             formatted, spans = render(canonical(record, layout)) if layout else ("", [])
             yield conv_id, layout, mark, formatted, [list(s) for s in spans]
 
-    return arrow_map(records.select("conv_id", "record"), rows, "conv_id long, layout string, fingerprint string, formatted string, loss array<array<long>>", flush=2_000)
+    return arrow_map(records.select("conv_id", "record"), rows, "conv_id long, layout string, fingerprint string, formatted string, loss array<array<long>>")
 
 
 def as_records(conversations: DataFrame) -> DataFrame:

@@ -13,8 +13,8 @@ from tidewell.sources.shared import forget, new_path, remove, shared_dir, writte
 
 __all__ = ["Shared", "arrow_filter", "arrow_map", "forget", "named", "new_path", "prepare", "remove", "shared_dir", "text_bytes", "written"]
 
-#: Rows of text are flushed from Python once an output batch holds this many rows.
-FLUSH_ROWS = 20_000
+#: An output batch is handed on once it holds this many rows, or values of about this many bytes.
+FLUSH_ROWS, FLUSH_BYTES = 20_000, 8_000_000
 #: Texts move to Python in batches of about so many bytes, where the session has the default of 64 MB.
 BATCH = "16m"
 _DEFAULT_BATCH = "67108864b"
@@ -61,11 +61,21 @@ def named(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
-def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], Iterator[tuple]], schema: str | object, flush: int = FLUSH_ROWS) -> DataFrame:
+def _weight(value: object) -> int:
+    """About how many bytes a value of a row takes."""
+    if isinstance(value, bytes | str):
+        return len(value)
+    if isinstance(value, list):
+        return 8 * len(value) + (sum(map(len, value)) if value and isinstance(value[0], bytes | str) else 0)
+    return 8
+
+
+def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], Iterator[tuple]], schema: str | object) -> DataFrame:
     """Map each Arrow batch to tuples and return them as a frame of ``schema``.
 
     ``rows`` yields tuples in the order of the schema's columns. Output batches
-    are flushed by count, so memory does not depend on the partition's size.
+    are handed on by rows and bytes, so a worker holds one input batch, one
+    output batch and one row at a time, whatever the partition's size.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -75,12 +85,14 @@ def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], Iterator[tuple]],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        size = 0
         for batch in batches:
             for row in rows(batch):
                 held.append(row)
-                if len(held) >= flush:
+                size += sum(map(_weight, row))
+                if len(held) >= FLUSH_ROWS or size >= FLUSH_BYTES:
                     yield _pack(held, arrow)
-                    held = []
+                    held, size = [], 0
         if held:
             yield _pack(held, arrow)
 

@@ -294,7 +294,7 @@ def encode(documents: DataFrame, head: Shared) -> DataFrame:
             yield (part << 36) + numbered[0], doc_id, is_held_out(doc_id), len(words), len(words) - len(rare), float(head_log[at].sum()), classes.astype("<i2").tobytes(), list(rest), list(rest.values())
 
     numbered = [0]
-    return arrow_map(documents.select("doc_id", "text"), rows, "row long, doc_id long, held_out boolean, n_tokens long, known long, log_sum double, classes binary, rest array<binary>, times array<long>", flush=2_000)
+    return arrow_map(documents.select("doc_id", "text"), rows, "row long, doc_id long, held_out boolean, n_tokens long, known long, log_sum double, classes binary, rest array<binary>, times array<long>")
 
 
 def _sequences(column: pa.Array) -> list[np.ndarray]:

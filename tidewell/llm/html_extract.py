@@ -416,4 +416,4 @@ def extract(pages: DataFrame) -> DataFrame:
             text = main_text(page.as_py())
             yield page_id, url, text, len(text)
 
-    return arrow_map(pages.select("page_id", "url", F.col("html")), rows, "page_id long, url string, text string, n_chars long", flush=2_000)
+    return arrow_map(pages.select("page_id", "url", F.col("html")), rows, "page_id long, url string, text string, n_chars long")

@@ -118,7 +118,7 @@ def pack(documents: DataFrame, tokenizer: str, ranks: str | None = None, longest
                 start += length
 
     running = [0] * (top + 1)
-    return arrow_map(documents.select("doc_id", "text"), rows, PIECES, flush=2_000)
+    return arrow_map(documents.select("doc_id", "text"), rows, PIECES)
 
 
 def _little_endian(ids: list[int]) -> bytes:

@@ -3,15 +3,18 @@
 All of it is DataFrame functions. Base matches are found with linear-time forms
 of the patterns; their places come from the lengths of what lies before them.
 
-Bootstrapping: every word with a digit or an @ is an instance, groups of digits
-with a space between them are one, and the two words before it in its line are
-its pattern. With one word before it, the line's start or the instance before
-stands for the other. Instances inside base matches are seeds. Spark scores
-the pattern-instance graph in rounds: a pattern's confidence for a kind is the
-share of its occurrences that known instances of the kind make, with a least
-number of different known instances; an instance is known with the combined
-confidence of its patterns. What a sure pattern precedes is added to the spans,
-with the pattern's kind, if it looks like an identifier.
+Bootstrapping: every word with a digit or an @ is an instance, and groups of
+digits with a space between them are one. Instances inside base matches are
+seeds, and so are quoted lower-case hexadecimal strings, the seeds of secrets.
+Each instance has several lexical patterns: one to three words before it in its
+line, one or two after it, a word on either side, and the word before with the
+shape of the instance. Where only one word stands before, the line's start or
+the instance before makes up the second. Spark scores the pattern-instance graph
+in rounds: a pattern's confidence for a kind is the share of its occurrences
+that known instances of the kind make, with a least number of different known
+instances, more of them for patterns of one word; an instance is known with the
+confidence of its best pattern. What a sure pattern surrounds is added to the
+spans, with the pattern's kind, if it looks like an identifier.
 """
 
 from __future__ import annotations
@@ -22,6 +25,9 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import forget, written
 
 KINDS = ("email", "ip", "card", "phone")
+#: All kinds; the last has no base pattern, only seeds.
+NAMES = (*KINDS, "secret")
+SECRET = len(KINDS)
 #: Base patterns. A match may start where a run of its first characters starts or
 #: where the last match ended (\G), which gives the leftmost matches without
 #: trying every place of a long run.
@@ -39,7 +45,10 @@ GROUP = r"(?![0-9]++(?:\.[0-9]++){3})[0-9]++(?:[./-][0-9]++)*+(?=[.,;:!?)\]}\"']
 WORD = rf"(?<![^\x20\x09-\x0D])(?:[^\x20\x09-\x0D0-9@\p{{L}}]*+{GROUP}(?:\x20{GROUP})++|[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+)"
 #: What stands in a pattern for a missing second word: the line's start or the instance before.
 LINE_START, INSTANCE = "^", "#"
-LEAST_SEEDS = 3
+#: A seed of a secret: a quoted string of 32 to 64 lower-case hexadecimal digits.
+SECRET_SEED = r"\A[^\p{L}0-9]*[\"'][0-9a-f]{32,64}[\"']"
+#: Different seeds that a pattern needs, and how many times as many one with a single word does.
+LEAST_SEEDS, SINGLE = 3, 3
 LEAST_CONFIDENCE = 0.8
 ROUNDS = 3
 #: Digits, or an @ with letters around it, that an added identifier must have.
@@ -47,6 +56,8 @@ LEAST_DIGITS = 5
 BLOCK = 64
 #: Sure patterns up to which they are a map in the plan when texts are redacted; more are joined.
 INLINE = 500
+#: Sure patterns up to which their table is broadcast.
+BROADCAST = 100_000
 
 
 def _starts(lengths: Column, before: Column) -> Column:
@@ -68,14 +79,14 @@ def _starts(lengths: Column, before: Column) -> Column:
 
 
 def _places(df: DataFrame, name: str, pattern: str, needs: Column, text: str = "text") -> DataFrame:
-    """Column ``name``: array of (start, end, value, before) of the pattern's matches."""
-    kind = "array<struct<start:bigint,end:bigint,value:string,before:string>>"
+    """Column ``name``: array of (start, end, value, before, after) of the pattern's matches."""
+    kind = "array<struct<start:bigint,end:bigint,value:string,before:string,after:string>>"
     df = df.withColumn("__m", F.when(needs, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))))
     df = df.withColumn("__p", F.when(F.size("__m") > 0, F.split(text, pattern, -1)))
     df = df.withColumn("__b", F.when(F.col("__p").isNotNull(), F.slice(F.transform("__p", lambda p: F.length(p).cast("long")), F.lit(1), F.size("__m"))))
     df = df.withColumn("__l", F.zip_with("__b", "__m", lambda b, m: b + F.length(m)))
     df = df.withColumn("__s", F.when(F.col("__b").isNotNull(), _starts(F.col("__l"), F.col("__b"))))
-    found = F.transform("__m", lambda m, i: F.struct(F.get("__s", i).alias("start"), (F.get("__s", i) + F.length(m)).alias("end"), m.alias("value"), F.get("__p", i).alias("before")))
+    found = F.transform("__m", lambda m, i: F.struct(F.get("__s", i).alias("start"), (F.get("__s", i) + F.length(m)).alias("end"), m.alias("value"), F.get("__p", i).alias("before"), F.get("__p", i + 1).alias("after")))
     return df.withColumn(name, F.coalesce(F.when(F.col("__p").isNotNull(), found), F.array().cast(kind))).drop("__m", "__p", "__b", "__l", "__s")
 
 
@@ -103,7 +114,7 @@ def _valid(kind: str, value: Column) -> Column:
 
 
 def base_spans(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, hash of the text, ``keep`` columns, spans (kind number, start, end, value) and words that may be instances."""
+    """doc_id, hash of the text, ``keep`` columns, spans (kind number, start, end, value) and words that may be instances, as of ``_instance``."""
     df = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *[F.struct(*[F.col(f"`{k}`") for k in keep]).alias("__kept")] if keep else [])
     digit = F.col("text").rlike("[0-9]")
     df = df.withColumn("__digit", digit)
@@ -118,30 +129,51 @@ def base_spans(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
     numbered = [valid_spans(n, k) for n, k in enumerate(KINDS)]
     spans = F.concat(*numbered)
-    return df.select("doc_id", F.xxhash64("text").alias("text_hash"), *(["__kept"] if keep else []), spans.alias("spans"), "words")
+    return df.select("doc_id", F.xxhash64("text").alias("text_hash"), *(["__kept"] if keep else []), spans.alias("spans"), F.transform(F.transform("words", _context), _instance).alias("words"))
 
 
-def _instance(w: Column) -> tuple[Column, Column, Column, Column]:
-    """Pattern (null without a word before), value, start and end of a word's identifier."""
-    # the words before: of the piece between this word and the last one, in its line
-    left = F.element_at(F.split(w["before"], "\n", -1), -1)
-    words = F.filter(F.split(F.lower(left), r"[^\p{L}]+", -1), lambda x: x != "")
+def _shape(value: Column) -> Column:
+    """Runs of digits as 9, of letters as a, and of both by turns as x."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "[0-9]+", "9"), r"\p{L}+", "a"), "(?:9a)+9?|(?:a9)+a?", "x")
+
+
+def _context(w: Column) -> Column:
+    """Words around an instance, its identifier, its start, and what there is before its first word."""
+    lexical = lambda piece: F.filter(F.split(F.lower(piece), r"[^\p{L}]+", -1), lambda x: x != "")
+    # the words of the pieces between this instance and the next ones, in its line
+    left = lexical(F.try_element_at(F.split(w["before"], "\n", -1), F.lit(-1)))
+    right = lexical(F.get(F.split(w["after"], "\n", -1), F.lit(0)))
     opens = (w["start"] == F.length(w["before"])) | F.contains(w["before"], F.lit("\n"))
-    edge = F.when(opens, F.lit(LINE_START)).otherwise(F.lit(INSTANCE))
-    context = F.when(F.size(words) >= 2, F.concat_ws(" ", F.slice(words, -2, 2))).when(F.size(words) == 1, F.concat_ws(" ", edge, F.get(words, F.lit(0))))
     core = F.regexp_extract(w["value"], r"[\p{L}0-9+].*(?<=[\p{L}0-9])", 0)
     start = w["start"] + F.length(F.regexp_extract(w["value"], r"\A[^\p{L}0-9+]*+", 0))
-    return context, F.lower(core), start, start + F.length(core)
+    return F.struct(left.alias("left"), right.alias("right"), F.when(opens, F.lit(LINE_START)).otherwise(F.lit(INSTANCE)).alias("edge"), core.alias("core"), start.alias("start"), w["value"].rlike(SECRET_SEED).alias("secret"))
+
+
+def _instance(c: Column) -> Column:
+    """Patterns (text, number of words), value, start, end of an identifier in its context, and whether it is the seed of a secret."""
+    left, right, core = c["left"], c["right"], c["core"]
+    near, next_, blank = F.try_element_at(left, F.lit(-1)), F.get(right, F.lit(0)), F.lit("_")
+    some, follows = F.size(left) > 0, F.size(right) > 0
+    form = lambda when, words, *parts: F.when(when, F.struct(F.concat_ws(" ", *parts).alias("pattern"), F.lit(words).alias("words")))
+    forms = F.array(
+        form(some, 2, F.when(F.size(left) >= 2, F.concat_ws(" ", F.slice(left, -2, 2))).otherwise(F.concat_ws(" ", c["edge"], near))),
+        form(F.size(left) >= 3, 3, F.concat_ws(" ", F.slice(left, -3, 3)), blank),
+        form(some, 1, near, blank),
+        form(some, 1, near, _shape(core)),
+        form(follows, 1, blank, next_),
+        form(F.size(right) >= 2, 2, blank, F.concat_ws(" ", F.slice(right, 1, 2))),
+        form(some & follows, 2, near, blank, next_),
+    )
+    return F.struct(F.filter(forms, lambda x: x.isNotNull()).alias("forms"), F.lower(core).alias("value"), c["start"].alias("start"), (c["start"] + F.length(core)).alias("end"), c["secret"].alias("secret"))
 
 
 def _instances(base: DataFrame) -> DataFrame:
-    """One row per word with a digit or @: pattern, value, kind of a base match it is in, place."""
-    rows = base.where(F.size("words") > 0).select("doc_id", "text_hash", "spans", F.explode("words").alias("w"))
-    pattern, value, start, end = _instance(F.col("w"))
-    rows = rows.select("doc_id", "text_hash", "spans", pattern.alias("pattern"), value.alias("value"), start.alias("start"), end.alias("end"))
+    """One row per word with a digit or @ and pattern of it: value, place, kind of its seed."""
+    rows = base.where(F.size("words") > 0).select("doc_id", "text_hash", "spans", F.inline("words")).where("value != ''")
     rows = rows.withColumn("__in", _within(F.col("spans"), F.col("start"), F.col("end")))
     first = F.get("__in", F.lit(0))
-    return rows.where("value != '' AND pattern IS NOT NULL").select("doc_id", "text_hash", "pattern", "value", "start", "end", F.when(F.size("__in") > 0, first["kind"]).alias("seed"), F.when(F.size("__in") > 0, F.lower(first["value"])).alias("seed_value"))
+    rows = rows.withColumn("seed", F.when(F.size("__in") > 0, first["kind"]).when(F.col("secret"), SECRET)).withColumn("known_as", F.when(F.size("__in") > 0, F.lower(first["value"])).otherwise(F.col("value")))
+    return rows.select("doc_id", "text_hash", "value", "start", "end", "seed", "known_as", F.inline_outer("forms"))
 
 
 def _within(spans: Column, start: Column, end: Column) -> Column:
@@ -149,44 +181,57 @@ def _within(spans: Column, start: Column, end: Column) -> Column:
     return F.filter(spans, lambda s: (s["start"] < end) & (start < s["end"]))
 
 
-def _added(spans: Column, words: Column, known: Column) -> Column:
-    """Added spans of a text, given a map from sure patterns to kinds."""
+def _added(spans: Column, words: Column, known: Column | None) -> Column:
+    """Added spans of a text, given a map from sure patterns to (confidence, minus kind)."""
 
     def one(w: Column) -> Column:
-        pattern, value, start, end = _instance(w)
-        kind = F.try_element_at(known, F.coalesce(pattern, F.lit("")))
-        fits = kind.isNotNull() & (value != "") & _looks_like(value) & (F.size(_within(spans, start, end)) == 0)
-        return F.when(fits, F.struct(kind.alias("kind"), start.alias("start"), end.alias("end")))
+        kind = F.when(w["secret"], F.lit(SECRET))
+        if known is not None:
+            best = F.array_max(F.transform(w["forms"], lambda f: F.try_element_at(known, f["pattern"])))
+            kind = F.coalesce(kind, F.when(_looks_like(w["value"]), -best["minus_kind"]))
+        fits = kind.isNotNull() & (w["value"] != "") & (F.size(_within(spans, w["start"], w["end"])) == 0)
+        return F.when(fits, F.struct(kind.alias("kind"), w["start"].alias("start"), w["end"].alias("end")))
 
     return F.array_distinct(F.filter(F.transform(words, one), lambda x: x.isNotNull()))
 
 
 def patterns(instances: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SEEDS, least_confidence: float = LEAST_CONFIDENCE) -> DataFrame:
-    """Sure patterns (pattern, kind, confidence) after the rounds.
+    """Sure patterns (pattern, kind, confidence, useful) after the rounds.
 
     The graph has one edge per pattern and instance with its number of
-    occurrences, summed before anything is joined.
+    occurrences, summed before anything is joined. A pattern is useful if an
+    instance that is no seed and looks like an identifier has it.
     """
-    edges = instances.groupBy("pattern", F.coalesce("seed_value", "value").alias("value")).agg(F.count("*").alias("n"), F.max("seed").alias("seed"))
+    edges = instances.where("pattern IS NOT NULL").groupBy("pattern", "words", F.col("known_as").alias("value")).agg(F.count("*").alias("n"), F.max("seed").alias("seed"))
     edges = written(edges, "pii-edges")
-    known = edges.where("seed IS NOT NULL").select("value", F.col("seed").alias("kind")).distinct().withColumn("trust", F.lit(1.0))
-    sure = None
+    seeds = edges.where("seed IS NOT NULL").select("value", F.col("seed").alias("kind")).distinct().withColumn("trust", F.lit(1.0))
+    unknown = edges.where("seed IS NULL").where(_looks_like(F.col("value"))).select("pattern", "value")
+    total = edges.groupBy("pattern").agg(F.sum("n").alias("total"))
+    known, sure = seeds, None
     for r in range(rounds):
-        total = edges.groupBy("pattern").agg(F.sum("n").alias("total"))
-        hits = edges.join(known, "value").groupBy("pattern", "kind").agg(F.sum(F.col("n") * F.col("trust")).alias("hit"), F.count("*").alias("different"))
-        scored = hits.where(F.col("different") >= least_seeds).join(total, "pattern").withColumn("confidence", F.least(F.lit(1.0), F.col("hit") / F.col("total"))).where(F.col("confidence") >= least_confidence)
+        hits = edges.join(known, "value").groupBy("pattern", "words", "kind").agg(F.sum(F.col("n") * F.col("trust")).alias("hit"), F.count("*").alias("different"))
+        enough = hits.where(F.col("different") >= F.when(F.col("words") == 1, least_seeds * SINGLE).otherwise(least_seeds))
+        scored = enough.join(total, "pattern").withColumn("confidence", F.least(F.lit(1.0), F.col("hit") / F.col("total"))).where(F.col("confidence") >= least_confidence)
         best = scored.groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", -F.col("kind"))).alias("kind"), F.max("confidence").alias("confidence"))
+        if r + 1 == rounds:
+            best = best.join(unknown.select("pattern", F.lit(True).alias("useful")).distinct(), "pattern", "left").fillna(False, ["useful"])
         before, sure = sure, written(best, "pii-patterns")
         if before is not None:
             forget(before)
         if r + 1 < rounds:
-            doubt = F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999))))
-            found = edges.where("seed IS NULL").where(_looks_like(F.col("value"))).join(sure, "pattern").groupBy("value", "kind").agg((1 - F.exp(doubt)).alias("trust"))
-            known = edges.where("seed IS NOT NULL").select("value", F.col("seed").alias("kind")).distinct().withColumn("trust", F.lit(1.0)).unionByName(found)
+            found = unknown.join(_small(sure), "pattern").groupBy("value", "kind").agg(F.max("confidence").alias("trust"))
+            known = seeds.unionByName(found)
+    forget(edges)
     return sure
 
 
+def _small(sure: DataFrame) -> DataFrame:
+    """The patterns, broadcast if they are few."""
+    return F.broadcast(sure) if sure.count() <= BROADCAST else sure
+
+
 def _looks_like(value: Column) -> Column:
+    """Whether an instance that is no seed may be added: enough digits, or an @ between letters or digits."""
     return (F.length(F.regexp_replace(value, "[^0-9]", "")) >= LEAST_DIGITS) | value.rlike(r"[\p{L}0-9]@[\p{L}0-9]")
 
 
@@ -194,7 +239,8 @@ def find(documents: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SE
     """doc_id, text_hash, base spans and added spans of every document.
 
     Base spans of different kinds may overlap; an added span overlaps no base
-    span. A null text is empty. Repeated rows give repeated rows with the same
+    span and has the kind of its most confident pattern, the kind that comes
+    first in ``NAMES`` if several are as confident. A null text is empty. Repeated rows give repeated rows with the same
     spans, but each occurrence counts as evidence. An empty table gives no rows;
     further columns are ignored; a null doc_id stays null.
     """
@@ -203,15 +249,23 @@ def find(documents: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SE
 
 
 def _with_added(base: DataFrame, sure: DataFrame) -> DataFrame:
-    new = _instances(base).where("seed IS NULL").where(_looks_like(F.col("value"))).join(sure.select("pattern", "kind"), "pattern")
-    added = new.select("doc_id", "text_hash", F.struct("kind", "start", "end").alias("s")).distinct().groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list("s")).alias("added"))
+    rows = _instances(base)
+    place = ["doc_id", "text_hash", "start", "end"]
+    new = rows.where("seed IS NULL").where(_looks_like(F.col("value"))).join(_small(sure.where("useful").select("pattern", "kind", "confidence")), "pattern")
+    new = new.groupBy(*place).agg(F.max_by("kind", F.struct("confidence", -F.col("kind"))).alias("kind"))
+    secrets = rows.where(F.col("seed") == SECRET).select(*place, F.lit(SECRET).alias("kind")).distinct()
+    added = new.unionByName(secrets).groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("added"))
     added = added.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), "added")
     out = base.join(added, base["doc_id"].eqNullSafe(added["__doc"]) & (base["text_hash"] == added["__hash"]), "left")
-    return out.select("doc_id", "text_hash", F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("spans"), F.coalesce("added", F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")).alias("added"))
+    return out.select(*[c for c in base.columns if c not in ("spans", "words")], _bare(F.col("spans")).alias("spans"), F.coalesce("added", F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")).alias("added"))
+
+
+def _bare(spans: Column) -> Column:
+    return F.transform(spans, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
 
 def _listed(spans: Column) -> Column:
-    names = F.array(*[F.lit(k) for k in KINDS])
+    names = F.array(*[F.lit(k) for k in NAMES])
     return F.array_join(F.transform(F.sort_array(spans), lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
@@ -233,28 +287,29 @@ def redact(documents: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_
     """The documents with every span replaced by its kind in brackets; n_chars follows the text.
 
     Of overlapping spans the one that starts first, then the longest, is shown;
-    all of its and the others' characters go. Null texts stay null.
+    all of its and the others' characters go. Null texts stay null, empty ones
+    empty. Repeated rows stay, each redacted alike; an empty table stays empty.
+    All columns stay, whatever their names: they travel in one struct.
     """
     light = written(base_spans(documents), "pii-base")
     sure = patterns(_instances(light), rounds, least_seeds, least_confidence)
-    few = sure.select("pattern", "kind").limit(INLINE + 1).collect() if INLINE >= 0 else None
+    useful = sure.where("useful")
+    few = useful.select("pattern", "kind", "confidence").limit(INLINE + 1).collect() if INLINE >= 0 else None
     if few is not None and len(few) <= INLINE:
         # few patterns, as a map in the plan: texts are searched again where they are and never shuffled
+        value = lambda r: F.struct(F.lit(r["confidence"]).alias("confidence"), F.lit(-r["kind"]).alias("minus_kind"))
+        known = F.create_map(*[x for r in sorted(few) for x in (F.lit(r["pattern"]), value(r))]) if few else None
         based = base_spans(documents, tuple(documents.columns))
-        every = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-        if few:
-            known = F.create_map(*[F.lit(x) for r in sorted(few) for x in (r["pattern"], r["kind"])])
-            every = F.concat(every, _added(F.col("spans"), F.col("words"), known))
-        joined = based.withColumn("__every", every).select("__kept.*", F.when(F.size("__every") > 0, _ordered(F.col("__every"))).alias("__marks"))
+        joined = based.select("__kept", F.concat(_bare(F.col("spans")), _added(F.col("spans"), F.col("words"), known)).alias("every"))
     else:
-        found = _with_added(light, sure)
-        every = F.concat("spans", "added")
-        marks = found.where(F.size(every) > 0).select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), _ordered(every).alias("__marks"))
-        marks = marks.dropDuplicates(["__doc", "__hash"])
-        keyed = documents.withColumn("__h", F.xxhash64(F.coalesce("text", F.lit(""))))
-        joined = keyed.join(marks, keyed["doc_id"].eqNullSafe(marks["__doc"]) & (keyed["__h"] == marks["__hash"]), "left")
-    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    text = F.col("text")
+        found = _with_added(light, sure).select(F.col("doc_id").alias("found_in"), F.col("text_hash").alias("found_hash"), F.concat("spans", "added").alias("every"))
+        marks = found.where(F.size("every") > 0).dropDuplicates(["found_in", "found_hash"])
+        columns = [F.col(f"`{c}`") for c in documents.columns]
+        keyed = documents.select(F.struct(*columns).alias("__kept"), F.col("doc_id").alias("of"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
+        joined = keyed.join(marks, F.col("of").eqNullSafe(F.col("found_in")) & (F.col("hash") == F.col("found_hash")), "left")
+    joined = joined.select("__kept", F.when(F.size("every") > 0, _ordered(F.col("every"))).alias("marks"))
+    names = F.array(*[F.lit(f"[{k.upper()}]") for k in NAMES])
+    text = F.col("__kept")["text"]
 
     def cut(state: Column, m: Column) -> Column:
         end = -m["minus_end"]
@@ -266,8 +321,16 @@ def redact(documents: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_
         )
 
     first = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
-    shown = F.aggregate("__marks", first, cut, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
-    out = joined.withColumn("text", F.when(F.col("__marks").isNotNull() & text.isNotNull(), shown).otherwise(text))
-    if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__marks").isNotNull(), F.length("text").cast(dict(documents.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in documents.columns])
+    shown = F.aggregate("marks", first, cut, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
+    joined = joined.select("__kept", F.when(F.col("marks").isNotNull() & text.isNotNull(), shown).alias("shown"))
+    types = dict(documents.dtypes)
+
+    def final(name: str) -> Column:
+        old = F.col("__kept")[name]
+        if name == "text":
+            old = F.coalesce("shown", old)
+        elif name == "n_chars":
+            old = F.when(F.col("shown").isNotNull(), F.length("shown").cast(types[name])).otherwise(old)
+        return old.alias(name)
+
+    return joined.select(*[final(c) for c in documents.columns])

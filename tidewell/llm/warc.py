@@ -160,7 +160,7 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_SHARED, segme
             for record in records_of(page_id, url, data.as_py(), refers_to, segment):
                 yield (record,)
 
-    lines = arrow_map(typed, run, "value binary", flush=1_000).select(F.col("value").cast("string"))
+    lines = arrow_map(typed, run, "value binary").select(F.col("value").cast("string"))
     lines.write.option("lineSep", END.decode()).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", records).text(path)
 
 
@@ -185,7 +185,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 yield (f.get("warc-segment-origin-id", own), page_of(own), f.get("warc-target-uri"), kind, page_of(refers) if refers else None, base64.b32decode(digest[5:]).hex() if digest else None,
                        int(number) if number else None, int(total) if total else None, None if kind == "revisit" else block)
 
-    parsed = arrow_map(files, run, RECORD, flush=500)
+    parsed = arrow_map(files, run, RECORD)
     whole = parsed.where("number IS NULL").select("page_id", "url", "record_type", "refers_to", "digest", F.col("block").alias("payload"))
     segments = parsed.where("number IS NOT NULL").groupBy("record_id").agg(F.sort_array(F.collect_list(F.struct("number", "total", "block", "page_id", "url", "digest"))).alias("parts"))
 
@@ -195,7 +195,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
             for _ in range(sum(p["number"] == 1 for p in parts)):  # a repeated row has repeated records
                 yield assembled(origin, parts)
 
-    return whole.unionByName(arrow_map(segments, join, READ, flush=500))
+    return whole.unionByName(arrow_map(segments, join, READ))
 
 
 def assembled(origin: str, parts: list[dict]) -> tuple:
