@@ -31,6 +31,42 @@ def test_article_of_every_test_page(spark, sf_dir):
         assert (got[r.page_id].text, got[r.page_id].n_chars, got[r.page_id].url) == (want, len(want), r.url)
 
 
+def inner_of(page):
+    return re.search(r"<article>(.*?)</article>", page, re.S)[1]
+
+
+def plain_blocks(inner):
+    blocks = [" ".join(html.unescape(re.sub(r"<[^>]+>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", inner)]
+    return "\n".join(b for b in blocks if b)
+
+
+@pytest.mark.parametrize("wrapped", ["<div class=x>{}</div>", "<div>{}</div>", "<div id=page><div class=left>{}</div></div>", "<table><tr><td><div class=c7>{}</div></td></tr></table>"])
+def test_scoring_finds_pages_without_an_article_element(spark, sf_dir, wrapped):
+    """Paragraphs lie up to seven divs deep, each at a depth of its own."""
+    random.seed(12)
+    for r in read(spark, sf_dir, "pages").collect():
+        inner = inner_of(r.html)
+        nested = re.sub(r"<p>.*?</p>", lambda m: "<div>" * (k := random.randrange(8)) + m[0] + "</div>" * k, inner, flags=re.S)
+        page = re.sub(r"<article>.*?</article>", lambda _, x=nested: wrapped.format(x), r.html, flags=re.S)
+        assert html_extract.main_text(page) == plain_blocks(inner)
+
+
+LONG = "A long paragraph, with commas, and words, " * 12 + "ends."
+
+
+@pytest.mark.parametrize("outer", ["<div>{}</div>", "<div class=x><div>{}</div></div>", "<article>{}</article>", "<main>{}</main>", "<div id=a><article>{}</article></div>"])
+@pytest.mark.parametrize("part", ["<section><p>short</p></section>", "<ul><li>short</ul>", "<table><tr><td>short</table>", "<blockquote>short</blockquote>", "<pre>short</pre>", "<h3>short</h3>", "<div><div><div><p>short</p></div></div></div>", "<p class='share-price'>short</p>", "short", "<figure><figcaption>short</figcaption></figure>"])
+def test_short_parts_of_an_article_stay(outer, part):
+    for body, want in ((f"<p>{LONG}</p>{part}", f"{LONG}\nshort"), (f"{part}<div><p>{LONG}</p></div>", f"short\n{LONG}"), (f"<section><p>{LONG}</p></section>{part}<section><p>{LONG}</p></section>", f"{LONG}\nshort\n{LONG}")):
+        page = f"<body><nav><ul><li><a href=1>menu</a></ul></nav>{outer.format(body)}<ul><li><a href=2>one</a><li><a href=3>two</a></ul><footer>end</footer></body>"
+        assert html_extract.main_text(page) == want
+
+
+def test_lists_of_links_beside_the_article_go():
+    page = f"<body><div id=w><div><p>{LONG}</p><p>{LONG}</p></div><div><a href=1>one two three</a> <a href=2>four five</a></div></div></body>"
+    assert html_extract.main_text(page) == f"{LONG}\n{LONG}"
+
+
 PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style></head><body class="has-sidebar">
 <header><h1>Site</h1></header><div id="cookie-notice"><p>We use cookies, and more cookies, and partners, and so on.</p></div>
 <div class="wrap"><div class="sidebar"><p>Other, news, of, the, day, is, here, today.</p></div>

@@ -3,9 +3,11 @@
 A page becomes a tree; parts that are never article text (menus, headers,
 footers, sidebars, notices, adverts, forms, comments, scripts, styles, hidden
 parts) are cut out by tag, role and class. Each paragraph passes points for its
-length and its commas to its ancestors, less with distance, and a container's
-points are discounted by the share of its text inside links. The container with
-most points is kept, with those siblings that score or read like it.
+length and its commas, discounted by the share of its text inside links, to all
+of its ancestors. The best container is the lowest one that holds most of the
+points of the page. It is kept whole, with the siblings of it and of its
+ancestors below the page's body that are no lists of links; beside its outermost
+ancestor, or the article element around it, siblings must score or read like it.
 """
 
 from __future__ import annotations
@@ -53,6 +55,12 @@ MAY_BE_TEXT = frozenset("alert notice notices related recommended promotion prom
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words outside links, and their share of all, from which a part so named is text.
 LEAST_WORDS, LEAST_SHARE = 12, 0.75
+#: Elements that are content wherever they stand, unless they are mostly links.
+CONTENT = frozenset("h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure p".split())
+#: Share of the page's points from which a part of the page is the article, and of a container's from which one inside it is.
+PAGE_SHARE, MOST = 0.5, 0.9
+#: Share of text in links from which a sibling is a list of links.
+LISTING = 0.5
 GOOD_NAMES = frozenset("article post story content entry body main text page hentry".split())
 #: Words that turn a name into a statement about the layout.
 LAYOUT = frozenset("has no with without show hide is".split())
@@ -68,12 +76,13 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "parent", "children", "points", "chars", "linked", "depth")
+    __slots__ = ("tag", "attributes", "parent", "children", "points", "chars", "linked", "doubtful")
 
     def __init__(self, tag: str, attributes: dict[str, str], parent: Node | None):
         self.tag, self.attributes, self.parent = tag, attributes, parent
         self.children: list[Node | str] = []
         self.points = self.chars = self.linked = 0.0
+        self.doubtful = False  # named like no article text, which names of parts of an article are too
 
 
 def _tag(page: str, at: int, last: dict[str, int]) -> tuple[str, bool, dict[str, str], int] | None:
@@ -233,7 +242,8 @@ def prune(root: Node) -> list[Node]:
     """Take the dropped parts out of the tree; the remaining nodes, parents first.
 
     A part marked by its name or a form around the article stays, since the
-    article cannot be without it.
+    article cannot be without it. A part whose name may be that of a part of an
+    article is doubtful if it reads like text: it stays, but is not scored.
     """
     holds: set[int] = set()  # nodes with an article or main element below
     every, stack = [], [root]
@@ -248,23 +258,26 @@ def prune(root: Node) -> list[Node]:
                         holds.add(id(up))
                         up = up.parent
                 stack.append(child)
-    words = _words(every) if holds else {}
+    words: dict[int, tuple[int, int]] = {}
 
-    def goes(node: Node, inside: bool) -> bool:
+    def goes(node: Node) -> bool:
         if not is_dropped(node) or id(node) in holds and (node.tag == "form" or node.tag not in DROP_TAGS):
             return False
-        if not inside or _is_marked(node) or node.tag not in HEADINGS and _is_named(node, DROP_NAMES - MAY_BE_TEXT):
+        line = node.tag in HEADINGS or node.tag in PARAGRAPH
+        if _is_marked(node) or node.tag not in HEADINGS and _is_named(node, DROP_NAMES - MAY_BE_TEXT):
             return True
+        if not words:
+            words.update(_words(every))
         free, linked = words[id(node)]
-        return free < (1 if node.tag in HEADINGS else LEAST_WORDS) or free < LEAST_SHARE * (free + linked)
+        node.doubtful = free >= (1 if line else LEAST_WORDS) and free >= LEAST_SHARE * (free + linked)
+        return not node.doubtful
 
-    order, todo = [], [(root, False)]
+    order, todo = [], [root]
     while todo:
-        node, inside = todo.pop()
-        inside = inside or _is_article(node)
+        node = todo.pop()
         order.append(node)
-        node.children = [c for c in node.children if isinstance(c, str) or not goes(c, inside)]
-        todo += [(c, inside) for c in node.children if isinstance(c, Node)]
+        node.children = [c for c in node.children if isinstance(c, str) or not goes(c)]
+        todo += [c for c in node.children if isinstance(c, Node)]
     return order
 
 
@@ -285,33 +298,48 @@ def _words(every: list[Node]) -> dict[int, tuple[int, int]]:
 
 
 def score(order: list[Node]) -> None:
-    """Points, characters and linked characters of every node."""
+    """Characters, linked characters and points of every node: those of all paragraphs in it."""
     for node in reversed(order):  # children first
+        below = [c for c in node.children if isinstance(c, Node)]
+        if node.tag in PARAGRAPH or node.tag in ("div", "section", "article", "body"):
+            own = not any(c.tag in BLOCK for c in below) or node.tag == "blockquote" and not any(c.points for c in below)
+        else:
+            own = False
         for child in node.children:
             if isinstance(child, str):
                 node.chars += len(" ".join(child.split()))
-            else:
+            elif not child.doubtful:
                 node.chars += child.chars
                 node.linked += child.chars if child.tag == "a" else child.linked
-    for node in order:
-        block_below = any(isinstance(c, Node) and c.tag in BLOCK for c in node.children)
-        if not (node.tag in PARAGRAPH or node.tag in ("div", "section", "article", "body") and not block_below) or not node.chars or block_below and node.tag != "blockquote":
-            continue
-        commas = sum(c.count(",") for c in node.children if isinstance(c, str))
-        points = (1 + commas + min(node.chars / 100, 3.0)) * (1 - node.linked / node.chars)
-        up, share = (node.parent, 1.0) if node.tag in PARAGRAPH else (node, 1.0)
-        far = 1
-        while up is not None and up.tag != "#root" and far <= 5:
-            up.points += points * share
-            far += 1
-            share = 1 / far if far < 3 else 1 / (3 * far)
-            up = up.parent
+                node.points += child.points
+        if own and node.chars:
+            commas = sum(c.count(",") for c in node.children if isinstance(c, str))
+            node.points += (1 + commas + min(node.chars / 100, 3.0)) * (1 - node.linked / node.chars)
+
 
+def _density(node: Node) -> float:
+    return node.linked / node.chars if node.chars else 0.0
 
-def _prior(node: Node) -> float:
-    if _is_article(node):
-        return 25.0
-    return 10.0 if any(p in GOOD_NAMES for name in _names(node) for p in _PARTS.split(name)) else 0.0
+
+def _weight(node: Node) -> float:
+    """Points that count when containers are compared."""
+    prior = 25.0 if _is_article(node) else 10.0 if any(p in GOOD_NAMES for name in _names(node) for p in _PARTS.split(name)) else 0.0
+    return (node.points + prior) * (1 - _density(node))
+
+
+def _reads_like(node: Node, top: Node) -> bool:
+    """Whether a sibling of ``top`` belongs to the article."""
+    density = _density(node)
+    if node.doubtful or not node.chars or density >= (0.5 if node.tag in HEADINGS else 0.25):
+        return False
+    if node.tag == "p":
+        return node.chars > 80 or density == 0 and not _is_article(top)
+    if node.tag in CONTENT:
+        return not _is_article(top) or node.tag in ("h1", "h2")
+    if node.tag == top.tag and node.attributes.get("class") == top.attributes.get("class") and (node.tag != "div" or node.attributes.get("class")):
+        return True
+    points = node.points * (1 - density)
+    return points >= 0.2 * top.points and (points >= 10.0 or _has_paragraph(node))
 
 
 def _has_paragraph(node: Node) -> bool:
@@ -324,47 +352,40 @@ def _has_paragraph(node: Node) -> bool:
     return False
 
 
-def choose(order: list[Node]) -> list[Node]:
-    """The best container and the siblings that belong to it, in page order."""
-    best, most = None, 0.0
-    for node in order:
-        if node.points <= 0 or node.tag in ("#root", "html", "p", "td", "li"):
-            continue
-        points = (node.points + _prior(node)) * (1 - (node.linked / node.chars if node.chars else 0))
-        if points > most:
-            best, most = node, points
-    if best is None:
-        return [n for n in order if n.tag == "body"][:1] or order[:1]
-    up = best  # a part of an article stands for the whole article
-    while up is not None and up.tag != "body":
-        if up.tag == "article":
-            best = up
+def choose(order: list[Node]) -> tuple[list[Node], set[int]]:
+    """The parts of the article in page order, and what goes inside them."""
+    page = next((n for n in order if n.tag == "body"), order[0])
+    best = page
+    while True:
+        below = [c for c in best.children if isinstance(c, Node) and c.points > 0 and c.tag not in PARAGRAPH and not c.doubtful]
+        child = max(below, key=_weight, default=None)
+        if child is None or not _is_article(child) and child.points < (PAGE_SHARE if best is page else MOST) * best.points:
+            break
+        best = child
+    if best is page or best.parent is None:
+        return [page], {id(n) for n in order if n.doubtful}
+    gone, top, whole = set(), best, best
+    while top.parent is not page and top.parent is not None and not _is_article(top):
+        top = top.parent
+    up = top  # a part of an article stands for the outermost one
+    while up is not None and up is not page:
+        whole = up if _is_article(up) else whole
         up = up.parent
-    if best.parent is None or best.tag == "body":
-        return [best]
-    kept = []
-    for node in best.parent.children:
-        if node is best:
-            kept.append(node)
-        elif isinstance(node, Node) and node.chars:
-            density = node.linked / node.chars
-            if node.tag == "p":
-                alike = density < 0.25 and (node.chars > 80 or density == 0 and best.tag != "article")
-            elif node.tag in ("h1", "h2"):
-                alike = density < 0.5
-            else:
-                # without a class, parts of one container are alike, but parts of the page need points
-                same = node.tag == best.tag and node.attributes.get("class") == best.attributes.get("class")
-                same = same and (bool(best.attributes.get("class")) or best.parent.tag not in ("body", "#root") and node.points > 0)
-                points = node.points * (1 - density)
-                alike = density < 0.25 and (same or points >= 0.2 * best.points and (points >= 10.0 or _has_paragraph(node)))
-            if alike:
-                kept.append(node)
-    return kept
-
-
-def text_of(nodes: list[Node]) -> str:
-    """Blocks in page order, one to a line; white space inside a block is one space."""
+    if _is_article(whole):
+        top = whole
+    node = best
+    while node is not top:
+        for sibling in node.parent.children:
+            if isinstance(sibling, Node) and sibling is not node:
+                named = sibling.doubtful and sibling.tag not in PARAGRAPH and (sibling.tag != node.tag or sibling.tag == "div")
+                if named or sibling.tag not in HEADINGS and _density(sibling) >= LISTING:
+                    gone.add(id(sibling))
+        node = node.parent
+    return [n for n in top.parent.children if n is top or isinstance(n, Node) and _reads_like(n, top)], gone
+
+
+def text_of(nodes: list[Node], gone: set[int] | frozenset[int] = frozenset()) -> str:
+    """Blocks in page order without the parts whose ids are in ``gone``, one to a line; white space inside a block is one space."""
     lines: list[str] = []
     block: list[str] = []
 
@@ -384,7 +405,7 @@ def text_of(nodes: list[Node]) -> str:
             block.append(item)
         elif item.tag in ("br", "wbr", "img"):
             block.append(" " if item.tag == "br" else "")
-        else:
+        elif id(item) not in gone:
             if item.tag in BLOCK:
                 flush()
                 stack.append(None)
@@ -401,7 +422,7 @@ def main_text(page: str | None) -> str:
         return ""
     order = prune(parse(page))
     score(order)
-    return text_of(choose(order))
+    return text_of(*choose(order))
 
 
 def extract(pages: DataFrame) -> DataFrame:
