@@ -379,6 +379,29 @@ def test_entries_hold_until_the_next(spark):
     assert url_filter.keep_allowed(captures, entries).count() == len(urls) - 2
 
 
+HOSTS = [
+    ("http://[2001:db8::1]:80/", "[2001:db8::1]"), ("http://a@b@evil.com/", "evil.com"), ("http://evil.com\\@x/", "evil.com"), ("HTTP://Evil.COM.:8080?x=@y", "evil.com"),
+    ("http:\\\\evil.com\\x", "evil.com"), ("https://u:p@evil.com#a@b", "evil.com"), ("http://evil.com/@good.org", "evil.com"), ("http://...", None), ("http://", None), ("evil.com", None), (None, None),
+    ("http://10.0.0.1/", "10.0.0.1"), ("  http://evil.com ", "evil.com"), ("http://é.com:1", "é.com"),
+]
+
+
+def test_hosts(spark):
+    rows = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(HOSTS)], "k int, url string")
+    got = rows.select("k", url_filter.host_of(rows["url"]).alias("host")).orderBy("k").collect()
+    assert [r.host for r in got] == [h for _, h in HOSTS]
+
+
+@pytest.mark.parametrize("hot", [url_filter.HOT, 1, 10**9])
+def test_entries_have_the_hosts_form(spark, monkeypatch, hot):
+    monkeypatch.setattr(url_filter, "HOT", hot)
+    entries = spark.createDataFrame([(" Evil.com.", "block", D(2024, 1, 1)), ("[2001:db8::1]", "block", D(2024, 1, 1)), ("0.1", "block", D(2024, 1, 1)), ("10.0.0.1", "review", D(2024, 1, 1)), (" . ", "block", D(2024, 1, 1))], "pattern string, action string, listed_on date")
+    captures = spark.createDataFrame([(k, u, D(2024, 2, 1)) for k, (u, _) in enumerate(HOSTS)] * 3, "page_id long, url string, fetched_on date")
+    got = url_filter.evaluate(captures, entries).collect()
+    want = {"evil.com": "block", "[2001:db8::1]": "block", "10.0.0.1": "review"}
+    assert len(got) == 3 * len(HOSTS) and all(r.action == want.get(HOSTS[r.page_id][1], "none") for r in got)
+
+
 def test_nothing_but_frames_on_native_paths(spark, sf_dir):
     for name in ("op7_pii", "op10_url_filter"):
         plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

@@ -53,10 +53,15 @@ FROM m
 """
 
 OP10 = r"""
-WITH c AS (
-  SELECT page_id, DATE '2024-01-01' + CAST(((page_id % 365) + 365) % 365 AS INTEGER) AS fetched_on,
-         nullif(regexp_replace(regexp_extract(lower(trim(url)), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '\.+$', ''), '') AS host
-  FROM pages),
+WITH u AS (SELECT page_id, replace(lower(trim(url)), chr(92), '/') AS u FROM pages),
+a AS (
+  SELECT page_id, u, instr(u, '://') AS k,
+         list_extract(string_split(split_part(split_part(split_part(substr(u, instr(u, '://') + 3), '/', 1), '?', 1), '#', 1), '@'), -1) AS place
+  FROM u),
+c AS (
+  SELECT p.page_id, DATE '2024-01-01' + CAST(((p.page_id % 365) + 365) % 365 AS INTEGER) AS fetched_on,
+         CASE WHEN a.k > 1 THEN nullif(rtrim(CASE WHEN starts_with(a.place, '[') THEN split_part(a.place, ']', 1) || ']' ELSE split_part(a.place, ':', 1) END, '.'), '') END AS host
+  FROM pages p LEFT JOIN a USING (page_id)),
 h AS (
   SELECT host, CAST(('0x' || substr(md5(host), 1, 6)) AS BIGINT) AS h, regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) AS domain
   FROM (SELECT DISTINCT host FROM c WHERE host IS NOT NULL)),
