@@ -284,7 +284,7 @@ def test_round_trip_matches_sql(spark, sf_dir):
 def test_awkward_captures(spark, monkeypatch, few):
     monkeypatch.setattr(warc, "BROADCAST", few)
     big, odd = "é" * 9000, "line\r\n\r\nWARC/1.1\r\n\r\n0\r\n\r\n" * 800
-    rows = [(1, "http://a/ b", big), (2, None, big), (3, "u", odd), (4, "u", None), (5, "", ""), (6, "u", "x" * 999), (7, "u", "x" * 999), (8, "u", "y" * 1000), (9, "u", "y" * 1000), (9, "u", "y" * 1000), (9, "u", big + "!"), (None, "u", "y" * 1000)]
+    rows = [(1, "http://a/ b", big), (2, None, big), (2, None, big), (None, None, odd), (None, None, odd), (3, "u", odd), (4, "u", None), (5, "", ""), (6, "u", "x" * 999), (7, "u", "x" * 999), (8, "u", "y" * 1000), (9, "u", "y" * 1000), (9, "u", "y" * 1000), (9, "u", big + "!"), (None, "u", "y" * 1000)]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, refers_to string")
     got = sorted(((r.page_id or 0), r.payload_bytes, r.payload_digest, r.record_type, r.refers_to or 0) for r in warc.digest(warc.round_trip(pages)).collect())
     want = []
@@ -297,6 +297,35 @@ def test_awkward_captures(spark, monkeypatch, few):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["a.warc", "a.warc.gz", "deep/er/a.warc.gz"])
+def test_archives_by_any_name(spark, tmp_path, monkeypatch, name):
+    import gzip
+
+    monkeypatch.setattr(warc, "PIECE", 700)
+    pack = gzip.compress if name.endswith("gz") else bytes
+    payload = {k: f"page {k} ".encode() * (k * 400) for k in range(5)}
+    records = [r + warc.END for k, p in payload.items() for r in warc.records_of(k, f"http://h/{k}", p, None, 1000)]
+    records.insert(3, b"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:1>\r\nContent-Length: 2\r\n\r\nhi" + warc.END)
+    records += records[-3:]  # segments once more
+    (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+    (tmp_path / name).write_bytes(b"".join(map(pack, records)))
+    got = {r.page_id: bytes(r.payload) for r in warc.read_archives(spark, str(tmp_path)).collect()}
+    assert got == payload
+    (tmp_path / "more.zip").write_bytes(b"x")
+    with pytest.raises(ValueError, match="no archive"):
+        warc.read_archives(spark, str(tmp_path))
+
+
+def test_broken_archives():
+    whole = b"".join(r + warc.END for r in warc.records_of(1, "u", b"abc" * 50, None))
+    assert len(list(warc.parse(whole[:-4]))) == 1 and list(warc.parse(b"")) == []
+    for cut in (10, len(whole) - 9):
+        with pytest.raises(ValueError, match="ends inside"):
+            list(warc.parse(whole[:cut]))
+    with pytest.raises(ValueError, match="no record"):
+        list(warc.parse(b"junk\r\n\r\n"))
+
+
 def test_segments_in_any_order_and_checked():
     payload = b"some payload " * 100
     parsed = list(warc.parse(b"".join(r + warc.END for r in warc.records_of(5, "u", payload, None, 300))))

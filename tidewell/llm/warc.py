@@ -19,6 +19,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,10 @@ LEAST_SHARED = 1000
 #: Bytes of a record's block beyond which it is cut, and records of a file: a file holds 32 MiB and headers at most.
 SEGMENT, RECORDS = 8192, 4096
 CHUNK = 4096
+#: Bytes of an archive that are decompressed at once.
+PIECE = 1 << 20
+#: Names of files that are archives.
+ARCHIVES = "*.{warc,warc.gz,txt.gz}"
 #: Revisits up to which their table is broadcast when records are typed; more are joined by page.
 BROADCAST = 200_000
 END = b"\r\n\r\n"
@@ -39,9 +44,9 @@ READ = "page_id long, url string, record_type string, refers_to long, digest str
 # --- one record --------------------------------------------------------------
 
 
-def identifier(page_id: int | None, sha1: str, number: int = 1) -> str:
-    """Record identifier: page, start of the payload's digest, segment."""
-    return f"<urn:x-page:{'' if page_id is None else page_id}:{sha1[:16].lower()}:{number}>"
+def identifier(page_id: int | None, sha1: str, number: int = 1, serial: str = "") -> str:
+    """Record identifier: page, start of the payload's digest, serial of the record where rows may repeat, segment."""
+    return f"<urn:x-page:{'' if page_id is None else page_id}:{sha1[:16].lower()}:{serial}:{number}>"
 
 
 def chunked(payload: bytes, size: int = CHUNK) -> bytes:
@@ -82,56 +87,85 @@ def _record(fields: list[tuple[str, str]], block: bytes) -> bytes:
     return "\r\n".join(lines).encode() + END + block
 
 
-def records_of(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, segment: int = SEGMENT) -> Iterator[bytes]:
+def records_of(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, segment: int = SEGMENT, serial: str = "") -> Iterator[bytes]:
     """The records of one capture: a revisit, or a response in one or more segments."""
     sha1 = base64.b32encode(hashlib.sha1(payload).digest()).decode()
     target = [("WARC-Target-URI", "".join(url.split()))] if url and url.split() else []
     common = [("WARC-Date", "1970-01-01T00:00:00Z"), *target]
     if refers_to is not None:
         block = b"HTTP/1.1 200 OK\r\n\r\n"
-        yield _record([("WARC-Type", "revisit"), ("WARC-Record-ID", identifier(page_id, sha1)), *common, ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", identifier(refers_to, sha1)), ("WARC-Payload-Digest", f"sha1:{sha1}"), ("Content-Type", "application/http; msgtype=response")], block)
+        yield _record([("WARC-Type", "revisit"), ("WARC-Record-ID", identifier(page_id, sha1, serial=serial)), *common, ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", identifier(refers_to, sha1)), ("WARC-Payload-Digest", f"sha1:{sha1}"), ("Content-Type", "application/http; msgtype=response")], block)
         return
     block = http_message(payload)
     parts = [block[k : k + segment] for k in range(0, len(block), segment)]
-    first = [("WARC-Type", "response"), ("WARC-Record-ID", identifier(page_id, sha1)), *common, ("WARC-Payload-Digest", f"sha1:{sha1}"), ("Content-Type", "application/http; msgtype=response")]
+    first = [("WARC-Type", "response"), ("WARC-Record-ID", identifier(page_id, sha1, serial=serial)), *common, ("WARC-Payload-Digest", f"sha1:{sha1}"), ("Content-Type", "application/http; msgtype=response")]
     yield _record([*first, ("WARC-Segment-Number", "1")] if len(parts) > 1 else first, parts[0])
     for k, part in enumerate(parts[1:], 2):
         last = [("WARC-Segment-Total-Length", str(len(block)))] if k == len(parts) else []
-        yield _record([("WARC-Type", "continuation"), ("WARC-Record-ID", identifier(page_id, sha1, k)), *common, ("WARC-Segment-Origin-ID", identifier(page_id, sha1)), ("WARC-Segment-Number", str(k)), *last], part)
+        yield _record([("WARC-Type", "continuation"), ("WARC-Record-ID", identifier(page_id, sha1, k, serial)), *common, ("WARC-Segment-Origin-ID", identifier(page_id, sha1, serial=serial)), ("WARC-Segment-Number", str(k)), *last], part)
 
 
-def _inflated(data: bytes) -> Iterator[bytes]:
-    """Decompressed pieces of gzip data of any number of members; other data as it is."""
+def _pieces(data: bytes, size: int = PIECE) -> Iterator[bytes]:
+    """Pieces of bounded size of gzip data of any number of members; of other data as it is."""
     if data[:2] != b"\x1f\x8b":
-        yield data
+        for k in range(0, len(data), size):
+            yield data[k : k + size]
         return
-    while data:
+    at = 0
+    while at < len(data):
         z = zlib.decompressobj(31)
-        yield z.decompress(data)
-        yield z.flush()
-        data = z.unused_data
+        rest = b""
+        while not z.eof:
+            if not rest:
+                rest, at = data[at : at + size], at + size
+                if not rest:
+                    raise ValueError("an archive's compressed data ends too early")
+            yield z.decompress(rest, size)
+            rest = z.unconsumed_tail
+        at = min(at, len(data)) - len(z.unused_data)
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields (lower-case names) and block of each record of an archive."""
-    data, at = b"".join(_inflated(data)), 0
-    while at < len(data):
-        head_end = data.index(END, at)
-        lines = data[at:head_end].decode().split("\r\n")
+    """Header fields (lower-case names) and block of each record of an archive, one record at a time."""
+    pieces, held, at = _pieces(data), bytearray(), 0
+
+    def fill(n: int) -> bool:
+        """Read on until n bytes are held after ``at``; whether they are."""
+        nonlocal at
+        if at > PIECE:
+            del held[:at]
+            at = 0
+        while len(held) - at < n:
+            piece = next(pieces, None)
+            if piece is None:
+                return False
+            held.extend(piece)
+        return True
+
+    while fill(1):
+        head_end, seen = held.find(END, at), 0
+        while head_end < 0:
+            seen = len(held) - at
+            if not fill(seen + 1):
+                raise ValueError("an archive ends inside a header")
+            head_end = held.find(END, max(at, at + seen - len(END)))
+        lines = held[at:head_end].decode().split("\r\n")
         if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record starts at {at}")
+            raise ValueError(f"no record starts here: {lines[0][:40]!r}")
         fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-        start = head_end + len(END)
-        stop = start + int(fields["content-length"])
-        if stop > len(data):
+        size, head = int(fields["content-length"]), head_end + len(END) - at
+        if not fill(head + size):
             raise ValueError("an archive ends inside a record")
-        yield fields, data[start:stop]
-        at = stop + len(END)
+        block = bytes(held[at + head : at + head + size])
+        fill(head + size + len(END))
+        at = min(at + head + size + len(END), len(held))
+        yield fields, block
 
 
 def page_of(identity: str) -> int | None:
-    number = identity.split(":")[2]
-    return int(number) if number else None
+    """The page in an identifier that ``identifier`` made; null for any other."""
+    parts = identity.strip("<>").split(":")
+    return int(parts[2]) if parts[:2] == ["urn", "x-page"] and parts[2].lstrip("-").isdigit() else None
 
 
 # --- on Spark ----------------------------------------------------------------
@@ -155,9 +189,13 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_SHARED, segme
     own = F.get(F.filter("refs", lambda r: F.startswith(r, F.sha1("payload"))), F.lit(0))
     typed = rows.join(by_page, "page_id", "left").select("page_id", "url", "payload", F.substring_index(own, ":", -1).cast("long").alias("refers_to"))
 
+    numbered = [0]
+
     def run(batch: pa.RecordBatch) -> Iterator[tuple]:
+        part = TaskContext.get().partitionId()
         for page_id, url, data, refers_to in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist(), strict=True):
-            for record in records_of(page_id, url, data.as_py(), refers_to, segment):
+            numbered[0] += 1  # tells repeated rows apart
+            for record in records_of(page_id, url, data.as_py(), refers_to, segment, f"{part}-{numbered[0]}"):
                 yield (record,)
 
     lines = arrow_map(typed, run, "value binary").select(F.col("value").cast("string"))
@@ -167,37 +205,55 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_SHARED, segme
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Every capture below ``path``: page_id, url, type, refers_to, digest (hex) and payload.
 
-    A revisit's payload is null; its digest is the one its record states.
-    Segments may lie in any order and in different files.
+    Archives are the files named ``*.warc``, ``*.warc.gz`` or ``*.txt.gz``; any
+    other file is an error, hidden ones aside. A file is one task, which holds it
+    compressed and one record decompressed. A revisit's payload is null; its
+    digest is the one its record states. Segments may lie in any order and in
+    different files; the same segment twice counts once, missing ones are an
+    error. Other records than responses, revisits and continuations are skipped.
+    A page_id is null in archives with identifiers of another form. Without
+    records there are no rows.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path).select("content")
+    other = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").where(~F.col("path").rlike(r"(?i)\.(?:warc|warc\.gz|txt\.gz)\z")).head(1)
+    if other:
+        raise ValueError(f"{other[0]['path']} is no archive")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", ARCHIVES).load(path).select("content")
 
     def run(batch: pa.RecordBatch) -> Iterator[tuple]:
         for data in batch.column(0):
             for f, block in parse(data.as_py()):
                 own, kind = f["warc-record-id"], f["warc-type"]
+                if kind not in ("response", "revisit", "continuation"):
+                    continue
                 digest = f.get("warc-payload-digest")
                 number, total = f.get("warc-segment-number"), f.get("warc-segment-total-length")
                 whole = number is None
                 if whole and kind == "response":
                     block = payload_of(block)
                 refers = f.get("warc-refers-to")
-                yield (f.get("warc-segment-origin-id", own), page_of(own), f.get("warc-target-uri"), kind, page_of(refers) if refers else None, base64.b32decode(digest[5:]).hex() if digest else None,
+                yield (f.get("warc-segment-origin-id", own), page_of(own), f.get("warc-target-uri"), kind, page_of(refers) if refers else None, hexadecimal(digest),
                        int(number) if number else None, int(total) if total else None, None if kind == "revisit" else block)
 
     parsed = arrow_map(files, run, RECORD)
     whole = parsed.where("number IS NULL").select("page_id", "url", "record_type", "refers_to", "digest", F.col("block").alias("payload"))
-    segments = parsed.where("number IS NOT NULL").groupBy("record_id").agg(F.sort_array(F.collect_list(F.struct("number", "total", "block", "page_id", "url", "digest"))).alias("parts"))
+    # every row has an origin of its own, so a group is one document's segments
+    segments = parsed.where("number IS NOT NULL").groupBy("record_id").agg(F.sort_array(F.collect_set(F.struct("number", "total", "block", "page_id", "url", "digest"))).alias("parts"))
 
     def join(batch: pa.RecordBatch) -> Iterator[tuple]:
         for origin, parts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            parts = parts.as_py()
-            for _ in range(sum(p["number"] == 1 for p in parts)):  # a repeated row has repeated records
-                yield assembled(origin, parts)
+            yield assembled(origin, parts.as_py())
 
     return whole.unionByName(arrow_map(segments, join, READ))
 
 
+def hexadecimal(digest: str | None) -> str | None:
+    """The hex SHA-1 of a payload digest field, which may have it in base 32 or 16."""
+    if not digest or not digest.lower().startswith("sha1:"):
+        return None
+    value = digest[5:]
+    return value.lower() if len(value) == 40 else base64.b32decode(value.upper()).hex()
+
+
 def assembled(origin: str, parts: list[dict]) -> tuple:
     """The capture of a segmented record; repeated records are equal."""
     by_number = {p["number"]: p for p in parts}
@@ -210,7 +266,12 @@ def assembled(origin: str, parts: list[dict]) -> tuple:
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """The pages written to archives in the shared folder and read back."""
+    """The pages written to archives in the shared folder and read back.
+
+    One row per input row, repeated rows too; null html and null page_id as in
+    ``write_archives``; an empty table gives no rows; further columns are
+    ignored. A URL loses its white space, an empty one is null.
+    """
     path = new_path(pages.sparkSession, "warc")
     write_archives(pages, path)
     return read_archives(pages.sparkSession, path)
