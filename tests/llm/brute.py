@@ -191,3 +191,37 @@ def quality_base(text: str | None) -> tuple[int, int, int, int, int, bool]:
     covered = {i + k for at in places.values() if len(at) > 1 for i in at for k in range(3)}
     n = len(words)
     return n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered), n < 50 or 100 * len(covered) > 50 * n
+
+
+def line_rows(text: str | None) -> list[tuple[list[float], int]]:
+    """Features and words of each line with a word, one at a time."""
+    out, seen = [], set()
+    for line in (text or "").split("\n"):
+        words = re.findall(r"[^\x20\x09-\x0D]+", line)
+        if not words:
+            continue
+        raw = line.encode()
+        n, size = len(words), len(raw)
+        marks = sum(line.count(c) for c in "#*$%&|<>")
+        upper = [w for w in words if re.search("[A-Z]", w) and not re.search("[a-z]", w)]
+        twice = sum(a == b for a, b in zip(words, words[1:], strict=False))
+        out.append(([
+            1.0, min(1.0, marks / n), len(upper) / n if n > 2 else 0.0, twice / n, max(0.0, 1 - 2.5 * len(set(words)) / n) if n > 20 else 0.0,
+            min(1.0, line.count("!") / n), min(1.0, line.count("|") / n), len(re.findall("[0-9]", line)) / size, min(1.0, max(0.0, size / n - 16) / 16),
+            float(line in seen), float(words[-1][-1] not in ".!?:;\""), float(n < 4),
+        ], n))
+        seen.add(line)
+    return out
+
+
+def quality_kept(text: str | None, weights: tuple, steps: tuple, share: float = 0.5) -> bool:
+    """The verdict by scoring every path of labels of two lines at a time (max-product over both labels)."""
+    if quality_base(text)[5]:
+        return False
+    rows = line_rows(text)
+    scores = [sum(w * x for w, x in zip(weights, row, strict=True)) for row, _ in rows]
+    best = {0: (0.0, [0]), 1: (scores[0], [1])}
+    for s in scores[1:]:
+        best = {y: max(((best[x][0] + steps[2 * x + y] + s * y, [*best[x][1], y]) for x in (0, 1)), key=lambda p: (p[0], -p[1][-2])) for y in (0, 1)}
+    labels = max(best.values(), key=lambda p: (p[0], -p[1][-1]))[1]
+    return sum(n for (_, n), y in zip(rows, labels, strict=True) if not y) >= share * sum(n for _, n in rows)

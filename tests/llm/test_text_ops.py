@@ -93,6 +93,30 @@ def test_quality_on_labelled_documents(spark, sf_dir, docs):
     assert sum(k == bool(q) for k, q in judged) >= 0.95 * len(judged)
 
 
+def test_verdicts_match_a_plain_decoder(spark, sf_dir, docs):
+    labels = read(spark, sf_dir, "labels")
+    weights, steps = quality_crf.train(docs, labels)
+    got = {r.doc_id: r.kept for r in quality_crf.quality(docs, labels).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert got == {k: brute.quality_kept(t, weights, steps) for k, t in texts.items()}
+    for t in AWKWARD:
+        assert quality_crf.judge((t or "").encode(), weights, steps)[-1] == brute.quality_kept(t, weights, steps)
+
+
+def test_contradictory_labels_are_left_out(spark):
+    texts = [f"line {k} of text, as it is.\nmore of it here\n" * 20 for k in range(4)] + ["# | # | 99\n" * 70 for _ in range(4)]
+    labels = spark.createDataFrame([(k, int(k < 4), 0) for k in range(8)], "doc_id long, quality int, toxic int")
+    twice = labels.unionByName(labels).unionByName(spark.createDataFrame([(0, 0, 0), (7, 1, 0)], labels.schema))
+    assert quality_crf.train(frame(spark, texts), twice) == quality_crf.train(frame(spark, texts), labels.where("doc_id NOT IN (0, 7)"))
+
+
+def test_lines_of_the_fit_come_from_anywhere():
+    lines = list(range(1000))
+    starts = {quality_crf.some_lines(k, lines)[0] for k in range(300)}
+    assert min(starts) < 100 and max(starts) > 800 and len(starts) > 200
+    assert quality_crf.some_lines(1, lines[:64]) == lines[:64] and quality_crf.some_lines(1, []) == []
+
+
 def test_quality_of_awkward_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     odd = spark.createDataFrame([(None, 1, 0), (1, None, 0), (99, 0, 1)], "doc_id long, quality int, toxic int")
@@ -192,6 +216,41 @@ def test_scores_match_brute_force(spark, docs):
     assert sum(better) > 0
 
 
+def plain_score(model, counts, totals, kinds, text):
+    """log10 probability of a text, word by word: forward recursion over classes times each word's share of its class."""
+    total, a = 0.0, None
+    for w in words_of(text):
+        c = 0 if not w else zlib.crc32(w[-3:]) % 1024 + 1
+        a = (model.start if a is None else a @ model.step) * model.emit[:, c] * ((counts[w] + 1) / (totals[c] + kinds[c] + 1))
+        total += math.log10(a.sum())
+        a = a / a.sum()
+    return total
+
+
+@pytest.mark.parametrize("head", [(hmm_lm.HEAD, hmm_lm.HEAD_BYTES), (100, 10**6), (10**6, 300)])
+def test_model_scores_match_a_plain_recursion(spark, docs, head):
+    more = frame(spark, [*AWKWARD, "x" * 90_000 + " " + "word " * 4000]).selectExpr("doc_id + 100000 AS doc_id", "text")
+    every = docs.select("doc_id", "text").unionByName(more)
+    learned = hmm_lm.learn(every, rounds=2, head_words=head[0], head_bytes=head[1])
+    rows = every.collect()
+    counts = Counter(w for r in rows if zlib.crc32(str(r.doc_id).encode()) % 7 != 2 for w in words_of(r.text))
+    totals, kinds = np.zeros(1025), np.zeros(1025)
+    for w, c in counts.items():
+        totals[0 if not w else zlib.crc32(w[-3:]) % 1024 + 1] += c
+        kinds[0 if not w else zlib.crc32(w[-3:]) % 1024 + 1] += 1
+    assert (learned.totals == totals).all() and (learned.kinds == kinds).all()
+    got = {r.doc_id: r.score for r in hmm_lm.score(every, rounds=2, head_words=head[0], head_bytes=head[1]).collect()}
+    for r in rows:
+        assert got[r.doc_id] == pytest.approx(plain_score(learned.model, counts, totals, kinds, r.text), rel=1e-9, abs=1e-9)
+
+
+def test_the_head_is_bounded_in_bytes(spark):
+    words = [(f"{k}".encode() * 30, 1, 100) for k in range(50)] + [(b"y" * 10_000, 1, 10**6)]
+    counts = spark.createDataFrame(words, "word binary, cls int, c long")
+    assert hmm_lm.frequent(counts, 1000, 10**6).agg({"word": "count"}).first()[0] == 50
+    assert hmm_lm.frequent(counts, 1000, 100).count() == 0 == hmm_lm.frequent(counts, 10).count()
+
+
 def test_scores_of_awkward_tables(spark):
     out = hmm_lm.score(clashing(frame(spark, AWKWARD * 2)), rounds=1).collect()
     assert len(out) == 2 * len(AWKWARD)

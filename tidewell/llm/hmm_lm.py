@@ -9,7 +9,7 @@ emits its words by add-one counts over all training tokens:
 Passes over the corpus:
 1. words are counted in each batch, then summed by word (the counts stay a table);
 2. each text becomes its sequence of classes, the summed log-counts of words
-   among the ``HEAD`` most frequent ones (a broadcast of that size), and the rest
+   among the ``HEAD`` most frequent ones (a broadcast of ``HEAD_BYTES`` at most), and the rest
    of its words, which are joined with the table of counts by word;
 3. expected counts of each Baum-Welch round are summed over partitions by state
    and class; the driver gets one matrix of fixed size;
@@ -25,6 +25,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
@@ -38,8 +39,8 @@ from tidewell.llm.common import Shared, arrow_map, prepare, text_bytes, written
 STATES = 6
 CLASSES = 1024  # of words; class 0 is the end of a text
 ROUNDS = 4
-#: Most frequent words whose counts are broadcast; other words are joined.
-HEAD = 100_000
+#: Most frequent words whose counts are broadcast, their bytes in all and those of each; other words are joined.
+HEAD, HEAD_BYTES, WORD_BYTES = 100_000, 4_000_000, 64
 #: Classes of the following token by which classes are grouped before the first round.
 CONTEXT = 32
 SEGMENT = 128
@@ -254,21 +255,22 @@ def word_counts(documents: DataFrame) -> DataFrame:
     return counted.groupBy("word", "cls").agg(F.sum("c").alias("c"))
 
 
-def frequent(counts: DataFrame, most: int) -> DataFrame:
-    """Words at least as frequent as a threshold that at most ``most`` words reach.
+def frequent(counts: DataFrame, most: int, most_bytes: int = HEAD_BYTES) -> DataFrame:
+    """Words of ``WORD_BYTES`` at most, at least as frequent as a threshold that keeps both bounds.
 
     The threshold comes from a histogram of counts in steps of a sixteenth of a
     doubling, so no task sends more than its share of those words to the driver.
     """
     step = F.floor(F.log2(F.col("c").cast("double")) * 16).cast("int")
-    steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()  # 16 rows a doubling at most
-    least, taken = None, 0
+    short = counts.where(F.octet_length("word") <= WORD_BYTES)
+    steps = short.groupBy(step.alias("step")).agg(F.count("*").alias("n"), F.sum(F.octet_length("word")).alias("bytes")).collect()  # 16 rows a doubling at most
+    least, taken, size = None, 0, 0
     for r in sorted(steps, key=lambda r: -r["step"]):
-        taken += r["n"]
-        if taken > most:
+        taken, size = taken + r["n"], size + r["bytes"]
+        if taken > most or size > most_bytes:
             break
         least = r["step"]
-    return counts.where(F.lit(False) if least is None else step >= least)
+    return short.where(F.lit(False) if least is None else step >= least)
 
 
 def encode(documents: DataFrame, head: Shared) -> DataFrame:
@@ -362,25 +364,44 @@ def baum_welch(encoded: DataFrame, totals: np.ndarray, states: int = STATES, rou
     return model
 
 
-def score(documents: DataFrame, states: int = STATES, rounds: int = ROUNDS, head_words: int = HEAD) -> DataFrame:
-    """Unigram base and HMM score (log10) of every text, one row per input row.
+@dataclass(frozen=True)
+class Learned:
+    """What the training documents gave: the model, counts of words (a table) and of classes, and all texts as classes."""
 
-    Null texts are empty and have the end alone. Without training documents every
-    word is unknown and the classes are equally probable. An empty table gives no
-    rows; repeated rows are counted and scored each; further columns are ignored.
-    """
-    spark = documents.sparkSession
+    model: Model
+    counts: DataFrame
+    totals: np.ndarray  # tokens of each class
+    kinds: np.ndarray  # different words of each class
+    encoded: DataFrame
+
+    def word_logs(self) -> np.ndarray:
+        """log10 of what a word's count and one is divided by, for each class."""
+        return np.log10(self.totals + self.kinds + 1)
+
+
+def learn(documents: DataFrame, states: int = STATES, rounds: int = ROUNDS, head_words: int = HEAD, head_bytes: int = HEAD_BYTES) -> Learned:
+    """Count words, encode all texts and train the model on the training documents."""
     counts = written(word_counts(documents), "counts")
     by_class = counts.groupBy("cls").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()  # one row per class
     totals, kinds = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
     for r in by_class:
         totals[r["cls"]], kinds[r["cls"]] = r["n"], r["v"]
-    n, v = int(totals.sum()), int(kinds.sum())
-    top = frequent(counts, head_words).select("word", "c").toPandas()
-    head = Shared(spark, (list(map(bytes, top["word"])), top["c"].to_numpy(np.int64)))
+    top = frequent(counts, head_words, head_bytes).select("word", "c").toPandas()
+    head = Shared(documents.sparkSession, (list(map(bytes, top["word"])), top["c"].to_numpy(np.int64)))
     encoded = written(encode(documents, head), "encoded")
-    model = baum_welch(encoded, totals, states, rounds)
-    in_class = np.log10(totals + kinds + 1)
+    return Learned(baum_welch(encoded, totals, states, rounds), counts, totals, kinds, encoded)
+
+
+def score(documents: DataFrame, states: int = STATES, rounds: int = ROUNDS, head_words: int = HEAD, head_bytes: int = HEAD_BYTES) -> DataFrame:
+    """Unigram base and HMM score (log10) of every text, one row per input row.
+
+    Null texts are empty and have the end alone. Without training documents every
+    word is unknown and the classes are equally probable. An empty table gives no
+    rows; repeated rows are counted and scored each; further columns are ignored.
+    """
+    learned = learn(documents, states, rounds, head_words, head_bytes)
+    counts, encoded, model, in_class = learned.counts, learned.encoded, learned.model, learned.word_logs()
+    n, v = int(learned.totals.sum()), int(learned.kinds.sum())
 
     def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
         sequences = _sequences(batch.column(1))

@@ -5,13 +5,15 @@ words, an equal earlier line, ...); Viterbi decoding labels the sequence of
 lines, and a document is retained if enough of its words are in content lines.
 
 The CRF is fitted on the driver from a bounded sample of labelled documents
-(``SAMPLE`` of each class, ``SAMPLE_LINES`` lines of each): the lines of a
-document carry its quality label. The fit is penalised towards ``PRIOR``, which
+(``SAMPLE`` of each class, ``SAMPLE_LINES`` consecutive lines of each, from a
+place that the hash of its id gives): the lines of a document carry its quality
+label; documents with labels of both classes are left out. The fit is penalised towards ``PRIOR``, which
 serves unchanged if there are no labels of both classes.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from operator import eq, mul
@@ -175,20 +177,26 @@ def fit_crf(rows: list[np.ndarray], labels: list[int], rounds: int = ROUNDS) ->
     return tuple(map(float, theta[:d])), tuple(map(float, theta[d:]))
 
 
+def some_lines(doc_id: int, lines: list, most: int = SAMPLE_LINES) -> list:
+    """``most`` consecutive lines from a place that depends on the id; all lines if there are no more."""
+    at = zlib.crc32(str(doc_id).encode()) % max(1, len(lines) - most + 1)
+    return lines[at : at + most]
+
+
 def train(documents: DataFrame, labels: DataFrame | None, sample: int = SAMPLE) -> tuple[tuple[float, ...], tuple[float, ...]]:
     """Fit the CRF on the ``sample`` labelled documents of each class first by hash of their id."""
     if labels is None:
         return PRIOR, PRIOR_STEPS
-    known = labels.select(F.col("doc_id"), F.col("quality")).where("doc_id IS NOT NULL AND quality IN (0, 1)")
+    known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("__most")).where("quality = __most").drop("__most")
     chosen = None
     for q in (0, 1):
         part = known.where(F.col("quality") == q).orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(sample)
         chosen = part if chosen is None else chosen.unionByName(part)
-    picked = documents.select("doc_id", "text").join(F.broadcast(chosen.dropDuplicates(["doc_id"])), "doc_id")
+    picked = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
         for doc_id, raw, quality in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-            yield doc_id, 1 - quality, np.array(line_features(raw)[0][:SAMPLE_LINES], np.float64).tobytes()
+            yield doc_id, 1 - quality, np.array(some_lines(doc_id, line_features(raw)[0]), np.float64).tobytes()
 
     got = sorted(arrow_map(picked, rows, "doc_id long, label int, features binary").collect())
     return fit_crf([np.frombuffer(r[2], np.float64).reshape(-1, len(FEATURES)) for r in got], [r[1] for r in got])
@@ -211,7 +219,11 @@ def quality(documents: DataFrame, labels: DataFrame | None, share: float = CONTE
 
 
 def keep_good(documents: DataFrame, labels: DataFrame | None, share: float = CONTENT_SHARE) -> DataFrame:
-    """The documents that ``quality`` keeps, with all their columns."""
+    """The documents that ``quality`` keeps, with all their columns, whatever their names.
+
+    A null or empty text goes, repeated rows are judged each, an empty table
+    stays empty; labels are taken as ``quality`` takes them.
+    """
     weights, steps = train(documents, labels)
 
     def keep(batch: pa.RecordBatch) -> list[bool]:
