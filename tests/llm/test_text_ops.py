@@ -268,8 +268,10 @@ def test_scores_of_awkward_tables(spark):
 def test_decontamination_matches_brute_force(spark, sf_dir, docs):
     bench = read(spark, sf_dir, "benchmark")
     items = [(str(r.item_id), r.text) for r in bench.collect()]
-    for block_bytes in (decontamination.BLOCK_BYTES, 3000):
-        got = {r.doc_id: r for r in decontamination.digest(decontamination.find_contamination(docs, bench, block_bytes=block_bytes)).collect()}
+    for windows in (decontamination.WINDOWS, 300, 40):
+        got = {r.doc_id: r for r in decontamination.digest(decontamination.find_contamination(docs, bench, windows=windows)).collect()}
+        stay = {r.doc_id for r in decontamination.remove_contaminated(clashing(docs), bench, windows=windows).collect()}
+        assert stay == {k for k, r in got.items() if not r.contaminated}
         for r in docs.collect():
             n, hit, names, sha = decontamination.brute_force(r.text, items)
             g = got[r.doc_id]
@@ -285,17 +287,34 @@ def test_random_words_match_brute_force():
             items = [(str(k), pick(random.randrange(40), few)) for k in range(6)]
             parts = [random.choice(items)[1][random.randrange(30) :] if random.random() < 0.6 else pick(random.randrange(20), few) for _ in range(6)]
             text = " x ".join(parts)
-            patterns, listed = {}, []
-            for name, t in items:
-                words = decontamination.words_of(t)
-                for at, p in decontamination.anchors(words, size):
-                    patterns.setdefault(p, []).append((len(listed), at))
-                listed.append((name, words))
-            if not patterns:
-                continue
-            n, runs, names = decontamination.scan(text.encode(), decontamination.build_automaton((patterns, listed)), size)
-            hit = sum(b - a for a, b in decontamination._union(runs))
-            assert (n, hit, sorted(names)) == decontamination.brute_force(text, items, size)[:3]
+            block = [(name, b" ".join(decontamination.words_of(t))) for name, t in items if decontamination.words_of(t)]
+            words = decontamination.words_of(text)
+            runs, names = decontamination.Windows(block, size).scan(words)
+            hit = sum(b - a for a, b in decontamination.union(runs))
+            assert (len(words), hit, sorted(names)) == decontamination.brute_force(text, items, size)[:3]
+
+
+def test_long_items_in_parts(spark):
+    random.seed(4)
+    item = [f"w{random.randrange(30)}" for _ in range(500)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    for windows in (1, 7, 100):
+        parts = [text.decode().split() for block in decontamination.blocks(bench, 13, windows) for _, text in block]
+        got = [tuple(p[i : i + 13]) for p in parts for i in range(len(p) - 12)]
+        assert got == [tuple(item[i : i + 13]) for i in range(488)]
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(decontamination, "BENCHMARK_BYTES", 10)
+        with pytest.raises(ValueError, match="bytes of text"):
+            decontamination.find_contamination(bench.selectExpr("item_id AS doc_id", "text"), bench)
+
+
+def test_many_words_and_items_that_share_windows():
+    block = [(str(k), f"which of the following is the best answer to question {k} of this set please".encode()) for k in range(4000)]
+    block += [("big", b" ".join(b"v%d" % k for k in range(70_000)))]
+    built = decontamination.Windows(block, 7)
+    runs, names = built.scan(b"which of the following is the best answer to question".split() * 200)
+    assert len(names) == 4000 and sum(b - a for a, b in decontamination.union(runs)) == 2000
+    assert built.scan([b"v%d" % k for k in range(60_000, 60_020)]) == ([[0, 20]], {"big"})
 
 
 def test_spans_point_into_the_original(spark):
@@ -434,5 +453,9 @@ def test_one_row_of_each_component_stays(spark, monkeypatch, broadcast):
     monkeypatch.setattr(simhash, "BROADCAST", broadcast)
     one, two, three, four = (" ".join(f"{w}{k}" for k in range(30)) for w in ("ant", "bee", "cat", "dog"))
     rows = [(3, one, "c"), (5, one, "c"), (5, two, "b"), (7, two, "a"), (None, three, "b"), (None, three, "a"), (9, four, "b"), (9, four, "a"), (None, four, "0"), (8, None, "x")]
-    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    names = "__row __id __text __doc __hash __stays __n stays best n fp".split()
+    kept = simhash.keep_one(docs.selectExpr("*", *[f"{k} AS `{c}`" for k, c in enumerate(names)]))
+    assert kept.columns == [*docs.columns, *names]
+    kept = kept.select(*docs.columns)
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([(3, one, "c"), (5, two, "b"), (None, three, "a"), (9, four, "a"), (8, None, "x")], key=str)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewell.session import ship
 from tidewell.sources.shared import forget, new_path, remove, shared_dir, written
 
-__all__ = ["Shared", "arrow_filter", "arrow_map", "forget", "named", "new_path", "prepare", "remove", "shared_dir", "text_bytes", "written"]
+__all__ = ["Shared", "arrow_filter", "arrow_map", "forget", "named", "new_path", "pack_rows", "prepare", "remove", "shared_dir", "text_bytes", "written"]
 
 #: An output batch is handed on once it holds this many rows, or values of about this many bytes.
 FLUSH_ROWS, FLUSH_BYTES = 20_000, 8_000_000
@@ -91,16 +91,17 @@ def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], Iterator[tuple]],
                 held.append(row)
                 size += sum(map(_weight, row))
                 if len(held) >= FLUSH_ROWS or size >= FLUSH_BYTES:
-                    yield _pack(held, arrow)
+                    yield pack_rows(held, arrow)
                     held, size = [], 0
         if held:
-            yield _pack(held, arrow)
+            yield pack_rows(held, arrow)
 
     prepare(df.sparkSession)
     return df.mapInArrow(run, kind)
 
 
-def _pack(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+def pack_rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    """Rows as one batch."""
     columns = list(zip(*rows, strict=True))
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 

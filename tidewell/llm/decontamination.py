@@ -1,22 +1,23 @@
 """Benchmark decontamination with an Aho-Corasick automaton.
 
-A document word is hit if it lies in 13 consecutive words that follow one another
-in a benchmark item too. Any such window holds an anchor: six words that start
-at a multiple of eight in the item. The anchors of all items are the patterns of
-one automaton. Each text is normalised (A-Z lowered, every other ASCII character
-that is no letter or digit is a space) and scanned once as bytes; where an anchor
-is found, item and text are compared in both directions, so that results are
-exact, and the runs found are mapped to word numbers and byte offsets.
-
-Anchors take less than a tenth of what all windows would. A block of patterns
-and items has a bounded size (``BLOCK_BYTES``) and is broadcast; a larger
-benchmark is scanned in several blocks, whose hits are united.
+A document word is hit if it lies in a window of an item: 13 consecutive words,
+or all words of a shorter item. The windows of all items are the patterns of one
+automaton, whose letters are words: each different word of the benchmark has a
+number, which stands for it as one character. Each text is normalised (A-Z
+lowered, every other ASCII character that is no letter or digit is a space),
+turned into such letters, words that no item has being letter 0, and scanned
+once; matches are mapped to word numbers and byte offsets of the original.
+
+An automaton has ``WINDOWS`` windows at most, about a kilobyte each; a larger
+benchmark needs several. A worker keeps up to ``KEPT`` of them; if there are
+more, it gathers ``GROUP_BYTES`` of texts before it goes from one to the next.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -25,13 +26,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.llm.common import Shared, arrow_filter, arrow_map, named, text_bytes
+from tidewell.llm.common import FLUSH_ROWS, Shared, named, pack_rows, prepare, text_bytes
 
-WINDOW, ANCHOR = 13, 6
-#: Bytes of patterns and items in one block; the automaton's memory is about 60 times that of the patterns.
-BLOCK_BYTES = 2_000_000
+WINDOW = 13
+#: Windows of one automaton, automata that a worker keeps, and bytes of texts scanned at once by more automata than that.
+WINDOWS, KEPT, GROUP_BYTES = 100_000, 2, 32_000_000
+#: Bytes of a benchmark's texts beyond which it is refused, since the driver and each worker hold them.
+BENCHMARK_BYTES = 256_000_000
 #: A-Z to a-z, other ASCII outside 0-9a-z to a space; bytes of non-ASCII characters stay.
 NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+#: The first letter after those that are no characters of text.
+AFTER_SURROGATES = 0xE000
 
 HITS = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -41,83 +46,75 @@ HITS = T.StructType([
     T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))),
 ])
 
+
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(NORMAL).split()
 
 
-def anchors(words: list[bytes], size: int = WINDOW) -> Iterator[tuple[int, bytes]]:
-    """Place and pattern (a space before and after each word) of an item's anchors.
-
-    Every window of ``size`` words has one inside; a shorter item has one at its start.
-    """
-    long = min(ANCHOR, size, len(words))
-    step = size - long + 1 if len(words) >= size else len(words) or 1
-    for at in range(0, len(words) - long + 1, step):
-        yield at, b" " + b" ".join(words[at : at + long]) + b" "
+#: Names and words of some items.
+Block = list[tuple[str | None, bytes]]
 
 
-def blocks(benchmark: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[dict[bytes, list[tuple[int, int]]], list[tuple[str | None, list[bytes]]]]]:
-    """Patterns with (item, place) and the items, in blocks of bounded size, read row by row."""
-    patterns: dict[bytes, list[tuple[int, int]]] = {}
-    items: list[tuple[str | None, list[bytes]]] = []
+def blocks(benchmark: DataFrame, size: int = WINDOW, windows: int = WINDOWS) -> Iterator[Block]:
+    """The items with words, read row by row, in blocks of ``windows`` windows and one item more at most."""
+    items: Block = []
     used = 0
     for row in benchmark.select(F.col("item_id").cast("string"), "text").toLocalIterator(prefetchPartitions=False):
         words = words_of(row[1])
         if not words:
             continue
-        for at, pattern in anchors(words, size):
-            used += len(pattern) if pattern not in patterns else 8
-            patterns.setdefault(pattern, []).append((len(items), at))
-        items.append((row[0], words))
-        used += sum(map(len, words))
-        if used >= block_bytes:
-            yield patterns, items
-            patterns, items, used = {}, [], 0
+        # a long item is cut into parts that overlap by a window less a word
+        for at in range(0, max(1, len(words) - size + 1), windows):
+            part = words[at : at + windows + size - 1]
+            items.append((row[0], b" ".join(part)))
+            used += max(1, len(part) - size + 1)
+            if used >= windows:
+                yield items
+                items, used = [], 0
     if items:
-        yield patterns, items
-
-
-def build_automaton(block: tuple[dict[bytes, list[tuple[int, int]]], list[tuple[str | None, list[bytes]]]]) -> tuple:
-    """The automaton, the length and places of each pattern, and the items."""
-    auto, listed = ahocorasick.Automaton(), []
-    for pattern, places in block[0].items():
-        auto.add_word(pattern.decode("latin-1"), len(listed))
-        listed.append((len(pattern), places))
-    auto.make_automaton()
-    return auto, listed, block[1]
-
-
-def scan(raw: bytes, built: tuple, size: int = WINDOW) -> tuple[int, list[list[int]], set[str]]:
-    """Number of words, runs of hit words [first, after), and ids of the items found."""
-    automaton, listed, items = built
-    words = raw.translate(NORMAL).split()
-    n = len(words)
-    if not n:
-        return 0, [], set()
-    starts, runs, names = None, [], set()
-    seen: dict[tuple[int, int], int] = {}  # item and shift -> end of the last run compared
-    for end, k in automaton.iter((b" " + b" ".join(words) + b" ").decode("latin-1")):
-        if starts is None:
-            starts = np.cumsum([1, *(len(w) + 1 for w in words)])
-        length, places = listed[k]
-        here = int(np.searchsorted(starts, end - length + 2))
-        for item, at in places:
-            shift = here - at
-            if seen.get((item, shift), -1) > here:
-                continue
-            name, wanted = items[item]
-            low, high = here, here
-            while low and low - shift and words[low - 1] == wanted[low - 1 - shift]:
-                low -= 1
-            stop = min(n, len(wanted) + shift)
-            while high < stop and words[high] == wanted[high - shift]:
-                high += 1
-            seen[item, shift] = high
-            if high - low >= min(size, len(wanted)):
-                runs.append([low, high])
+        yield items
+
+
+class Windows:
+    """The automaton over the windows of a block."""
+
+    def __init__(self, block: Block, size: int = WINDOW):
+        self.letters: dict[bytes, str] = {}
+        self.auto = ahocorasick.Automaton()
+        self.found: list[tuple[int, set[str]]] = []  # length of a window, and the items that have it
+        for name, text in block:
+            words = text.split()
+            spelt = "".join([self._letter(w) for w in words])
+            length = min(size, len(words))
+            for at in range(len(words) - length + 1):
+                window = spelt[at : at + length]
+                k = self.auto.get(window, None)
+                if k is None:
+                    k = len(self.found)
+                    self.auto.add_word(window, k)
+                    self.found.append((length, set()))
                 if name is not None:
-                    names.add(name)
-    return n, runs, names
+                    self.found[k][1].add(name)
+        self.auto.make_automaton()
+
+    def _letter(self, word: bytes) -> str:
+        letter = self.letters.get(word)
+        if letter is None:
+            number = len(self.letters) + 1
+            letter = self.letters[word] = chr(number if number < 0xD800 else number - 0xD800 + AFTER_SURROGATES)
+        return letter
+
+    def scan(self, words: list[bytes]) -> tuple[list[list[int]], set[str]]:
+        """Runs of hit words [first, after) and the items whose windows occur."""
+        runs, seen = [], set()
+        for end, k in self.auto.iter("".join(map(self.letters.get, words, repeat("\0")))):
+            length = self.found[k][0]
+            seen.add(k)
+            if runs and runs[-1][1] >= end - length + 1 >= runs[-1][0]:
+                runs[-1][1] = max(runs[-1][1], end + 1)
+            else:
+                runs.append([end - length + 1, end + 1])
+        return runs, set().union(*(self.found[k][1] for k in seen))
 
 
 def byte_spans(raw: bytes, runs: list[list[int]]) -> list[list[int]]:
@@ -129,7 +126,7 @@ def byte_spans(raw: bytes, runs: list[list[int]]) -> list[list[int]]:
     return [[int(edges[2 * a]), int(edges[2 * b - 1])] for a, b in runs]
 
 
-def _union(runs: list[list[int]]) -> list[list[int]]:
+def union(runs: list[list[int]]) -> list[list[int]]:
     out: list[list[int]] = []
     for a, b in sorted(runs):
         if out and a <= out[-1][1]:
@@ -139,23 +136,43 @@ def _union(runs: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _scanner(documents: DataFrame, benchmark: DataFrame, size: int, block_bytes: int):
-    """A function from raw texts to (n_words, runs of hit words, item ids) of each."""
-    casts = [Shared(documents.sparkSession, b) for b in blocks(benchmark, size, block_bytes)]
+def _scanner(documents: DataFrame, benchmark: DataFrame, size: int, windows: int):
+    """A function from raw texts to (n_words, runs of hit words, item ids) of each, and the bytes of texts it wants at once."""
+    total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if total > BENCHMARK_BYTES:
+        raise ValueError(f"the benchmark has {total} bytes of text, over {BENCHMARK_BYTES}: scan parts of it one after the other")
+    casts = [Shared(documents.sparkSession, b) for b in blocks(benchmark, size, windows)]
 
     def scan_all(texts: list[bytes]) -> list[tuple[int, list[list[int]], list[str]]]:
-        found = [(len(raw.translate(NORMAL).split()), [], set()) for raw in texts] if not casts else [(0, [], set())] * len(texts)
-        for cast in casts:
-            built = cast.built(build_automaton)
-            for i, raw in enumerate(texts):
-                n, runs, items = scan(raw, built, size)
-                found[i] = n, found[i][1] + runs, found[i][2] | items
-        return [(n, _union(runs), sorted(items)) for n, runs, items in found]  # ids sorted as text
-
-    return scan_all
-
-
-def find_contamination(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+        sizes = [0] * len(texts)
+        found: list[tuple[list[list[int]], set[str]]] = [([], set()) for _ in texts]
+        for cast in casts or [None]:
+            automaton = cast.built(lambda block: Windows(block, size), KEPT) if cast else None
+            for i, raw in enumerate(texts):  # words are held for one text at a time
+                words = raw.translate(NORMAL).split()
+                sizes[i] = len(words)
+                runs, names = automaton.scan(words) if automaton else ((), ())
+                found[i][0].extend(runs)
+                found[i][1].update(names)
+        return [(n, union(runs), sorted(items)) for n, (runs, items) in zip(sizes, found, strict=True)]  # ids sorted as text
+
+    return scan_all, 0 if len(casts) <= KEPT else GROUP_BYTES
+
+
+def _groups(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[pa.RecordBatch]]:
+    """Lists of batches of ``size`` bytes or a little more."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.nbytes
+        if n >= size:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
+def find_contamination(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, windows: int = WINDOWS) -> DataFrame:
     """Per document: n_words, n_hit, items found and byte spans of the hit passages.
 
     A null text has no words. A benchmark item without words matches nothing;
@@ -163,14 +180,21 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, size: int = W
     repeated rows; an empty table gives none, and an empty benchmark no hits.
     Further columns are ignored.
     """
-    scan_all = _scanner(documents, benchmark, size, block_bytes)
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    scan_all, size_of_group = _scanner(documents, benchmark, size, windows)
+    schema = to_arrow_schema(HITS)
 
-    def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
-        texts = list(text_bytes(batch.column(1)))
-        for doc_id, raw, (n, runs, items) in zip(batch.column(0).to_pylist(), texts, scan_all(texts), strict=True):
-            yield doc_id, n, sum(b - a for a, b in runs), items, byte_spans(raw, runs)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, size_of_group):
+            ids = [x for b in group for x in b.column(0).to_pylist()]
+            texts = [x for b in group for x in text_bytes(b.column(1))]
+            rows = [(i, n, sum(b - a for a, b in runs), items, byte_spans(raw, runs)) for i, raw, (n, runs, items) in zip(ids, texts, scan_all(texts), strict=True)]
+            for k in range(0, len(rows), FLUSH_ROWS):
+                yield pack_rows(rows[k : k + FLUSH_ROWS], schema)
 
-    return arrow_map(documents.select("doc_id", "text"), rows, HITS)
+    prepare(documents.sparkSession)
+    return documents.select("doc_id", "text").mapInArrow(run, HITS)
 
 
 def is_contaminated(n_hit: int, n_words: int) -> bool:
@@ -187,14 +211,23 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
-def remove_contaminated(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents that are not contaminated, with all their columns."""
-    scan_all = _scanner(documents, benchmark, size, block_bytes)
+def remove_contaminated(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, windows: int = WINDOWS) -> DataFrame:
+    """The documents that are not contaminated, with all their columns, whatever their names.
+
+    A null or empty text stays, repeated rows stay or go together, an empty
+    table stays empty, and with an empty benchmark all stay.
+    """
+    scan_all, size_of_group = _scanner(documents, benchmark, size, windows)
 
-    def keep(batch: pa.RecordBatch) -> list[bool]:
-        return [not is_contaminated(sum(b - a for a, b in runs), n) for n, runs, _ in scan_all(list(text_bytes(named(batch, "text"))))]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, size_of_group):
+            found = scan_all([x for b in group for x in text_bytes(named(b, "text"))])
+            keep = iter([not is_contaminated(sum(b - a for a, b in runs), n) for n, runs, _ in found])
+            for batch in group:
+                yield batch.filter(pa.array([next(keep) for _ in range(batch.num_rows)], pa.bool_()))
 
-    return arrow_filter(documents, keep)
+    prepare(documents.sparkSession)
+    return documents.mapInArrow(run, documents.schema)
 
 
 def brute_force(text: str | None, items: list[tuple[str | None, str | None]], size: int = WINDOW) -> tuple[int, int, list[str], str]:

@@ -268,17 +268,17 @@ def keep_one(documents: DataFrame) -> DataFrame:
     keys = several.groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).agg(F.first("stays").alias("__stays"), F.count("*").alias("__n"))
     keys = written(keys.where("NOT __stays OR __n > 1"), "removed")
     columns = [F.col(f"`{c}`") for c in documents.columns]
+    rows = documents.select(F.struct(*columns).alias("__row"), F.col("doc_id").alias("__id"), _text_hash().alias("__text"))  # names of further columns can't clash
 
     def matched(part: DataFrame, how: str) -> DataFrame:
         part = part.select("__doc", "__hash")
-        at = documents["doc_id"].eqNullSafe(F.col("__doc")) & (_text_hash() == F.col("__hash"))
-        return documents.join(F.broadcast(part) if few else part, at, how).select(*columns)
+        at = F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__text") == F.col("__hash"))
+        return rows.join(F.broadcast(part) if few else part, at, how)
 
     few = keys.count() <= BROADCAST
-    once = matched(keys, "left_anti")
+    kept = matched(keys, "left_anti").select("__row")
     repeated = keys.where("__stays")
-    if repeated.isEmpty():
-        return once
-    again = matched(repeated, "left_semi")
-    least = again.groupBy("doc_id", _text_hash().alias("__hash")).agg(F.min(F.struct(*columns)).alias("__row"))
-    return once.unionByName(least.select("__row.*"))
+    if not repeated.isEmpty():
+        least = matched(repeated, "left_semi").groupBy("__id", "__text").agg(F.min("__row").alias("__row"))
+        kept = kept.unionByName(least.select("__row"))
+    return kept.select("__row.*")
