@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.columns import day
-from tidewell.sources.shared import written
+from tidewell.sources.shared import forget, written
 
 Start = datetime.date | str
 
@@ -47,17 +47,62 @@ def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int |
     return numbered if k is None else numbered.where(F.col(rank) <= k)
 
 
-def global_rank(df: DataFrame, order: Sequence[str], rank: str = "position") -> DataFrame:
-    """0-based position in the total order of ``order``, without a single-task window.
+def _running(df: DataFrame, order: Sequence[str], weight: Column, to: str, total: str | None = None) -> DataFrame:
+    """``to``: sum of ``weight`` over the rows before each one in the total order of ``order``; ``total``: over all.
 
-    Rows are range-partitioned and written once, so that partition sizes and
+    The input is written before it is sampled for ranges, and range-partitioned
+    and written again, so that each is evaluated once and partition sums and
     positions see the same partitions; offsets are one row per partition.
     """
-    dealt = written(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "ranked")
-    sizes = dealt.groupBy("__part").agg(F.count("*").alias("__n"))
-    offsets = sizes.withColumn("__before", F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))).select("__part", F.coalesce("__before", F.lit(0)).alias("__before"))
-    inside = dealt.withColumn("__k", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
-    return inside.join(F.broadcast(offsets), "__part").withColumn(rank, F.col("__before") + F.col("__k") - 1).drop("__part", "__before", "__k")
+    source = written(df.withColumn("__w", weight.cast("long")), "unranked")
+    dealt = written(source.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "ranked")
+    forget(source)
+    sizes = dealt.groupBy("__part").agg(F.sum("__w").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("__part", F.coalesce(before, F.lit(0)).alias("__before"), F.sum("__n").over(Window.partitionBy()).alias("__total"))
+    so_far = F.sum("__w").over(Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    out = dealt.withColumn("__k", F.coalesce(so_far, F.lit(0))).join(F.broadcast(offsets), "__part").withColumn(to, F.col("__before") + F.col("__k"))
+    return (out.withColumn(total, F.col("__total")) if total else out).drop("__part", "__before", "__k", "__w", "__total")
+
+
+def global_rank(df: DataFrame, order: Sequence[str], rank: str = "position", total: str | None = None) -> DataFrame:
+    """0-based position in the total order of ``order``, and the number of rows as ``total``, without a single-task window."""
+    return _running(df, order, F.lit(1), rank, total)
+
+
+def percentiles(df: DataFrame, group: str, value: str, points: Sequence[float]) -> DataFrame:
+    """Exact linear percentiles: (group, k, value) for each group and the k-th of ``points``; nulls don't count.
+
+    Values are counted, put in one total order over all groups and found by
+    position, so no task holds a column's values. Groups must be few.
+    """
+    counts = df.select(F.col(group).alias(group), F.col(value).cast("double").alias("__v")).where("__v IS NOT NULL").groupBy(group, "__v").agg(F.count("*").alias("__c"))
+    placed = _running(counts, [group, "__v"], F.col("__c"), "__at")
+    sizes = placed.groupBy(group).agg(F.sum("__c").alias("__n"), F.min("__at").alias("__first"))
+    wanted = sizes.select(F.col(group).alias("__g"), F.posexplode(F.array(*[F.col("__first") + F.lit(float(p)) * (F.col("__n") - 1) for p in points])).alias("k", "__want"))
+    here = lambda place: (F.col("__at") <= place) & (place < F.col("__at") + F.col("__c"))
+    low, high = F.floor("__want"), F.ceil("__want")
+    met = placed.join(F.broadcast(wanted), F.col(group).eqNullSafe(F.col("__g")) & (here(low) | here(high)))
+    ends = met.groupBy(group, "k", "__want").agg(F.max(F.when(here(low), F.col("__v"))).alias("__low"), F.max(F.when(here(high), F.col("__v"))).alias("__high"))
+    share = F.col("__want") - F.floor("__want")
+    return ends.select(group, "k", (F.col("__low") * (1 - share) + F.col("__high") * share).alias("value"))
+
+
+#: Bytes of a frame up to which it is broadcast, and copies of a larger one that its join deals rows to.
+BROADCAST_BYTES, SALTS = 128 << 20, 16
+
+
+def join_small(df: DataFrame, side: DataFrame, keys: Sequence[str], row_bytes: int, how: str = "left", most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` joined with a frame that has one row per key; broadcast after a check of its size, else salted.
+
+    ``row_bytes`` is about what a row of ``side`` takes. Salts deal the rows of a
+    key that very many rows have, as a popular article, to ``SALTS`` tasks.
+    """
+    if side.count() * max(row_bytes, 64) <= most:
+        return df.join(F.broadcast(side), list(keys), how)
+    copies = side.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = df.withColumn("__salt", F.pmod(F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")]), F.lit(SALTS)).cast("int"))
+    return dealt.join(copies, [*keys, "__salt"], how).drop("__salt")
 
 
 def one_row(df: DataFrame) -> DataFrame:

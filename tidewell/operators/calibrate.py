@@ -57,9 +57,8 @@ def brier_table(scored: DataFrame, probability: str = "p_purchase", label: str =
 
 def quantile_bins(scored: DataFrame, probability: str = "p_purchase", bins: int = BINS) -> DataFrame:
     """Bins of nearly equal counts by (probability, customer, article): floor(i * bins / n)."""
-    ranked = global_rank(scored, [probability, "customer_id", "article_id"], "__i")
-    n = F.broadcast(scored.agg(F.count("*").alias("__total")).withColumn("__one", F.lit(1)))
-    return ranked.withColumn("__one", F.lit(1)).join(n, "__one").withColumn("bin", F.floor(F.col("__i") * bins / F.col("__total")).cast("long")).drop("__i", "__total", "__one")
+    ranked = global_rank(scored, [probability, "customer_id", "article_id"], "__i", "__of")
+    return ranked.withColumn("bin", F.floor(F.col("__i") * bins / F.col("__of")).cast("long")).drop("__i", "__of")
 
 
 def reliability(binned: DataFrame, probability: str = "p_purchase", label: str = "label") -> DataFrame:

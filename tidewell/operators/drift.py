@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.columns import hash_mod
+from tidewell.functions.frames import percentiles
+from tidewell.sources.shared import written
 
 DRIFTED, FAILING_SHARE = 0.25, 0.25
 LEAST_ROWS, SAMPLE = 50_000, 100_000
@@ -46,12 +48,15 @@ def psi(reference: DataFrame, current: DataFrame, numeric: Sequence[str], catego
     """column_name and psi of each column.
 
     Numbers fall into bins at the reference's deciles (equal deciles are one
-    bin, null is a bin), categories into themselves; shares are floored.
+    bin, null is a bin), categories into themselves; shares are floored. Each
+    side is evaluated once, into a table.
     """
-    parts = []
+    parts, columns = [], [*numeric, *categorical]
+    reference, current = written(reference.select(*columns), "reference"), written(current.select(*columns), "current")
     if numeric:
-        edges = _long(reference, numeric, True).groupBy("column_name").agg(F.array_sort(F.array_distinct(F.percentile("value", F.array(*[F.lit(k / BINS) for k in range(1, BINS)])))).alias("edges"))
-        binned = lambda df: _long(df, numeric, True).join(F.broadcast(edges), "column_name").select("column_name", F.when(F.col("value").isNull(), "null").otherwise(F.size(F.filter("edges", lambda e: e < F.col("value"))).cast("string")).alias("bin"))
+        points = percentiles(_long(reference, numeric, True), "column_name", "value", [k / BINS for k in range(1, BINS)])
+        edges = points.groupBy("column_name").agg(F.array_sort(F.collect_set("value")).alias("edges"))
+        binned = lambda df: _long(df, numeric, True).join(F.broadcast(edges), "column_name", "left").select("column_name", F.when(F.col("value").isNull(), "null").otherwise(F.size(F.filter(F.coalesce("edges", F.array().cast("array<double>")), lambda e: e < F.col("value"))).cast("string")).alias("bin"))
         parts.append((binned(reference), binned(current)))
     if categorical:
         named = lambda df: _long(df, categorical, False).select("column_name", F.coalesce("value", F.lit("null")).alias("bin"))

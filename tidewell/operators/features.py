@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.columns import cosine, ratio
-from tidewell.functions.frames import Start, in_windows, per_window, top_k
+from tidewell.functions.frames import Start, in_windows, join_small, per_window, top_k
 from tidewell.operators.candidates import KEYS, STRATEGIES, with_age_bucket
+from tidewell.sources.shared import written
 
 TRAILING = (("1w", 7), ("4w", 28), ("12w", 84))
 RECENT = 10
-VECTOR = 32
+#: About how many bytes a row of the article block takes besides its vector.
+ARTICLE_ROW = 300
 
 CUSTOMER_COUNTS = ["txn_count_total", "distinct_article_count_total", *[f"{c}_{w}" for w, _ in TRAILING for c in ("txn_count", "distinct_article_count")]]
 CATEGORICAL = ["club_member_status", "fashion_news_frequency", "age_bucket", "product_type_name", "department_name", "index_group_name", "garment_group_name"]
@@ -32,10 +34,10 @@ def _since(days: int) -> Column:
 def customer_features(tx: DataFrame, customers: DataFrame, starts: Sequence[Start]) -> DataFrame:
     """One row per customer and window; counts of customers without history are 0, the rest null.
 
-    History is dealt by customer once; rows are aggregated there, distinct
-    articles by way of the customer's articles, without a copy for each window.
+    Rows are summed before they are shuffled, so a customer with very many rows
+    is no task of its own; distinct articles come from the customer's articles.
     """
-    history = in_windows(tx, starts, None).repartition(*KEYS)
+    history = in_windows(tx, starts, None)
     rows = history.groupBy(*KEYS).agg(
         F.count("*").alias("txn_count_total"), F.avg("price").alias("mean_purchase_price"), F.stddev_samp("price").alias("std_purchase_price"),
         F.max("t_dat").alias("__last"),
@@ -75,21 +77,29 @@ def recent_text_mean(tx: DataFrame, vectors: DataFrame, starts: Sequence[Start],
     """
     tx = tx if customers is None else tx.join(customers.select("customer_id").distinct(), "customer_id", "left_semi")
     last = top_k(in_windows(tx, starts, None).select(*KEYS, "article_id", "t_dat"), KEYS, [F.desc("t_dat"), F.col("article_id")], recent, "__n")
-    met = last.join(vectors, "article_id")
-    return met.groupBy(*KEYS).agg(F.array(*[F.avg(F.get("vector", F.lit(k))) for k in range(VECTOR)]).alias("recent_vector"))
+    size = dimensions(vectors)
+    met = join_small(last, vectors, ["article_id"], 8 * size, "inner")
+    return met.groupBy(*KEYS).agg(F.array(*[F.avg(F.get("vector", F.lit(k))) for k in range(size)]).cast("array<double>").alias("recent_vector"))
+
+
+def dimensions(vectors: DataFrame) -> int:
+    """Places of the vectors, which all have as many."""
+    first = vectors.select(F.size("vector").alias("n")).where("n > 0").head(1)
+    return first[0]["n"] if first else 0
 
 
 def pair_features(candidates: DataFrame, tx: DataFrame, articles: DataFrame, customers: DataFrame, articles_before: DataFrame, vectors: DataFrame, recent: DataFrame, starts: Sequence[Start], keep: Sequence[str] = ()) -> DataFrame:
     """The seven features of a pair, and the ``keep`` columns of the candidates.
 
     ``customers`` and ``articles_before`` are the customer and article blocks.
-    Candidates and history are dealt by customer together, once; sums by
-    article and by each attribute are windows inside that partitioning.
+    History is summed by customer and article; candidates and those sums are
+    dealt by customer together, once; sums by each attribute are windows inside
+    that partitioning. What belongs to articles is broadcast if it is small.
     """
     traits = articles.select("article_id", "product_code", "colour_group_name", "department_name")
     asked = candidates.select(*KEYS, "article_id", *keep, F.lit(True).alias("__asked"))
-    history = in_windows(tx, starts, None).select(*KEYS, "article_id", F.lit(False).alias("__asked"), F.lit(1).alias("__n"), F.col("t_dat").alias("__last"))
-    rows = asked.unionByName(history, allowMissingColumns=True).join(traits, "article_id", "left").repartition(*KEYS)
+    history = in_windows(tx, starts, None).groupBy(*KEYS, "article_id").agg(F.count("*").alias("__n"), F.max("t_dat").alias("__last")).withColumn("__asked", F.lit(False))
+    rows = join_small(asked.unionByName(history, allowMissingColumns=True), traits, ["article_id"], ARTICLE_ROW).repartition(*KEYS)
     own = Window.partitionBy(*KEYS, "article_id")
     rows = rows.withColumns({PAIR[0]: F.sum("__n").over(own), "__own": F.max("__last").over(own)})
     for trait, name in (("product_code", PAIR[2]), ("colour_group_name", PAIR[3]), ("department_name", PAIR[4])):
@@ -98,7 +108,7 @@ def pair_features(candidates: DataFrame, tx: DataFrame, articles: DataFrame, cus
     pairs = pairs.select(*KEYS, "article_id", *keep, *PAIR[:5])
     pairs = pairs.join(customers.select(*KEYS, "mean_purchase_price"), KEYS, "left").join(recent, KEYS, "left")
     prices = articles_before.select("window_start", "article_id", "article_mean_price")
-    pairs = pairs.join(prices, ["window_start", "article_id"], "left").join(vectors, "article_id", "left")
+    pairs = join_small(join_small(pairs, prices, ["window_start", "article_id"], ARTICLE_ROW), vectors, ["article_id"], 8 * dimensions(vectors))
     pairs = pairs.withColumn(PAIR[5], ratio(F.col("article_mean_price"), F.col("mean_purchase_price"))).withColumn(PAIR[6], cosine(F.col("vector"), F.col("recent_vector")))
     return pairs.fillna(0, [PAIR[0], *PAIR[2:5]]).select(*KEYS, "article_id", *keep, *PAIR)
 
@@ -117,11 +127,11 @@ def assembled(pairs: DataFrame, provenance: DataFrame, customers: DataFrame, art
 
 def _blocks(candidates: DataFrame, tx: DataFrame, articles: DataFrame, customers: DataFrame, vectors: DataFrame, starts: Sequence[Start], everyone: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """All features of the candidates in one pass over them: provenance is kept, not joined."""
-    who, what = customer_features(tx, customers, starts), article_features(everyone, articles, starts)
+    who, what = customer_features(tx, customers, starts), written(article_features(everyone, articles, starts), "articles")
     recent = recent_text_mean(tx, vectors, starts)
     marked = provenance_features(candidates, keep)
     pairs = pair_features(marked, tx, articles, who, what, vectors, recent, starts, [*PROVENANCE, *keep])
-    return pairs.join(who, KEYS, "left").join(what, ["window_start", "article_id"], "left").select(*KEYS, "article_id", *FEATURES, *keep)
+    return join_small(pairs.join(who, KEYS, "left"), what, ["window_start", "article_id"], ARTICLE_ROW).select(*KEYS, "article_id", *FEATURES, *keep)
 
 
 def build(candidates: DataFrame, tx: DataFrame, articles: DataFrame, customers: DataFrame, vectors: DataFrame, starts: Sequence[Start]) -> DataFrame:

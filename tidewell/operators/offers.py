@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.columns import day, ratio
-from tidewell.functions.frames import Start, top_k
+from tidewell.functions.frames import Start, percentiles, top_k
 from tidewell.operators.calibrate import in_fit
+from tidewell.sources.shared import written
 
 MARGIN, COST_MULTIPLIER = 0.5, 0.001
 SOLD_DAYS, BOUGHT_DAYS, PRICE_DAYS = 7, 14, 28
@@ -92,8 +93,11 @@ def divergence(selected: DataFrame, top1: DataFrame) -> DataFrame:
 def price_summary(df: DataFrame, name: str) -> DataFrame:
     """10, 25, 50, 75 and 90 % points (linear) and the mean of the prices."""
     points = (10, 25, 50, 75, 90)
-    got = df.agg(F.percentile("price", F.array(*[F.lit(p / 100) for p in points])).alias("p"), F.avg("price").alias("mean"))
-    return got.select(F.lit(name).alias("what"), *[F.get("p", F.lit(k)).alias(f"p{p}") for k, p in enumerate(points)], "mean")
+    rows = written(df.select(F.lit(name).alias("what"), "price"), "prices")
+    at = percentiles(rows, "what", "price", [p / 100 for p in points])
+    wide = at.agg(F.lit(1).alias("__one"), *[F.max(F.when(F.col("k") == k, F.col("value"))).alias(f"p{p}") for k, p in enumerate(points)])
+    mean = rows.agg(F.avg("price").alias("mean"), F.lit(1).alias("__one"))
+    return mean.join(F.broadcast(wide), "__one").select(F.lit(name).alias("what"), *[f"p{p}" for p in points], "mean")
 
 
 def sensitivity(scored: DataFrame, cost: DataFrame, customers: DataFrame) -> DataFrame:
@@ -128,16 +132,18 @@ def divergence_parts(selected: DataFrame, top1: DataFrame, sold: DataFrame, boug
 
 def threshold_report(scored: DataFrame, cost: DataFrame) -> DataFrame:
     """Quantiles of the probabilities and of each customer's highest, and the share of customers with a row worth each cost."""
-    points = F.array(*[F.lit(q) for q in QUANTILES])
+    scored = written(scored, "scored")
     best = with_cost(scored, cost.select("median_price")).groupBy("customer_id").agg(
         F.max("p_purchase").alias("p"),
         *[F.bool_or(F.coalesce(0.5 * F.col("price") * F.col("p_purchase") > c * F.col("median_price"), F.lit(False))).alias(f"over_{k}") for k, c in enumerate(THRESHOLDS)],
     )
-    of = lambda df, name: df.agg(F.percentile(name, points).alias("q"), F.max(name).alias("m"))
-    rows = lambda got, what: got.select(F.inline(F.concat(F.transform(F.sequence(F.lit(0), F.lit(len(QUANTILES) - 1)), lambda k: F.struct(F.concat(F.lit(f"{what} q"), F.get(points, k).cast("string")).alias("name"), F.get("q", k).alias("value"))), F.array(F.struct(F.lit(f"{what} max").alias("name"), F.col("m").alias("value"))))))
+    both = scored.select(F.lit("row").alias("what"), F.col("p_purchase").alias("p")).unionByName(best.select(F.lit("customer").alias("what"), "p"))
+    names = F.array(*[F.concat(F.lit(" q"), F.lit(q).cast("string")) for q in QUANTILES])
+    points = percentiles(both, "what", "p", QUANTILES).select(F.concat("what", F.get(names, F.col("k"))).alias("name"), "value")
+    highest = both.groupBy("what").agg(F.max("p").alias("value")).select(F.concat("what", F.lit(" max")).alias("name"), "value")
     shares = best.agg(*[F.avg(F.col(f"over_{k}").cast("int")).alias(f"s{k}") for k in range(len(THRESHOLDS))])
     share_rows = shares.select(F.inline(F.array(*[F.struct(F.lit(f"share over {c!r}").alias("name"), F.col(f"s{k}").alias("value")) for k, c in enumerate(THRESHOLDS)])))
-    return rows(of(scored, "p_purchase"), "row").unionByName(rows(of(best, "p"), "customer")).unionByName(share_rows)
+    return points.unionByName(highest).unionByName(share_rows)
 
 
 def offer_summary(selected: DataFrame, top: int = 10) -> DataFrame:

@@ -37,7 +37,7 @@ CTES: dict[str, str] = {
       p_brand AS department_name, p_type AS product_type_name, 'group ' || CAST(p_size // 10 AS VARCHAR) AS index_group_name, CASE WHEN p_partkey % 7 <> 0 THEN text END AS detail_desc FROM part LEFT JOIN documents ON doc_id = p_partkey""",
     "customers": """SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS customer_id, CASE WHEN c_nationkey % 2 = 0 THEN 1.0 END AS FN, CASE WHEN c_nationkey % 4 = 0 THEN 1.0 END AS Active, c_mktsegment AS club_member_status,
       CASE c_nationkey % 3 WHEN 0 THEN 'NONE' WHEN 1 THEN 'Regularly' END AS fashion_news_frequency, CAST(CASE WHEN c_custkey % 17 <> 0 THEN 18 + c_custkey % 60 END AS INTEGER) AS age, lpad(CAST(c_nationkey AS VARCHAR), 64, '0') AS postal_code FROM customer""",
-    "vectors": "SELECT lpad(CAST(vec_id AS VARCHAR), 10, '0') AS article_id, list_transform(embedding[1:32], lambda x: CAST(x AS DOUBLE)) AS vector FROM embeddings",
+    "vectors": "SELECT lpad(CAST(vec_id AS VARCHAR), 10, '0') AS article_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS vector FROM embeddings",
     "aged": "SELECT *, CASE WHEN age IS NULL THEN 'unknown' WHEN age <= 25 THEN '<25' WHEN age <= 35 THEN '25-34' WHEN age <= 45 THEN '35-44' WHEN age <= 55 THEN '45-54' WHEN age <= 65 THEN '55-64' ELSE '65+' END AS age_bucket FROM customers",
     "history": "SELECT tx.*, window_start FROM starts JOIN tx ON t_dat < window_start",
     "truth": "SELECT DISTINCT window_start, customer_id, article_id FROM starts JOIN tx ON t_dat >= window_start AND t_dat <= window_start + 6",
@@ -83,7 +83,7 @@ CTES: dict[str, str] = {
       FROM articles CROSS JOIN starts LEFT JOIN (SELECT window_start, article_id, avg(price) AS article_mean_price, count(DISTINCT customer_id) AS buyers, min(t_dat) AS first, max(t_dat) AS last,
         {", ".join(f"{_count_since(d)} AS n_{w}" for w, d in features.TRAILING)}, count(*) FILTER (t_dat >= window_start - 14 AND t_dat < window_start - 7) AS before FROM history GROUP BY ALL) USING (window_start, article_id)""",
     "recent_text": """SELECT window_start, customer_id, place, avg(value) AS value FROM (
-      SELECT window_start, customer_id, unnest(range(32)) AS place, unnest(vector) AS value FROM (
+      SELECT window_start, customer_id, unnest(range(len(vector))) AS place, unnest(vector) AS value FROM (
         SELECT window_start, customer_id, article_id, row_number() OVER (PARTITION BY window_start, customer_id ORDER BY t_dat DESC, article_id) AS k FROM history) JOIN vectors USING (article_id) WHERE k <= 10) GROUP BY ALL""",
     "recent_list": "SELECT window_start, customer_id, list(value ORDER BY place) AS recent FROM recent_text GROUP BY ALL",
     "counted": "SELECT window_start, customer_id, article_id, count(*) AS n, max(t_dat) AS last FROM history GROUP BY ALL",
@@ -319,6 +319,7 @@ ORACLES: dict[str, str] = {
     "s_store_surrogate": sql(_rounded("store", ["p_purchase", "price", "expected_value"], 4)),
     "s_unmatched_surrogate": sql("SELECT customer_id, article_id FROM ranked WHERE (customer_id, article_id) NOT IN (SELECT (customer_id, article_id) FROM pool WHERE n_strategies > 1)"),
     "s_recommend_surrogate": sql("SELECT customer_id, string_agg(article_id, ',' ORDER BY rank) FILTER (rank <= 5) AS items, max(article_id) FILTER (selected) AS offer FROM store GROUP BY customer_id"),
+    "s_sample_store_surrogate": sql(_rounded("(SELECT * FROM store WHERE customer_id IN (SELECT customer_id FROM (SELECT customer_id, row_number() OVER (PARTITION BY recency_bucket ORDER BY sha256('42:' || customer_id), customer_id) AS k FROM recency) WHERE k <= 300)) AS chosen", ["p_purchase", "price", "expected_value"], 4)),
     "s_sampled": sql("SELECT recency_bucket, customer_id, key FROM (SELECT recency_bucket, customer_id, sha256('42:' || customer_id) AS key, row_number() OVER (PARTITION BY recency_bucket ORDER BY sha256('42:' || customer_id), customer_id) AS k FROM recency) WHERE k <= 300"),
     "g_not_exact_surrogate": sql("SELECT customer_id, count(*) AS n FROM scored12 WHERE eligible GROUP BY customer_id HAVING count(*) <> 12"),
     "g_customer_count": sql("SELECT count(*) AS n FROM customers"),
@@ -326,7 +327,7 @@ ORACLES: dict[str, str] = {
     "r_verdict": _with_psi(f"SELECT features, drifted, probability_drifted, round(drifted / features, 6) AS share, NOT (drifted / features > 0.25 OR probability_drifted) AS passed FROM (SELECT count(*) FILTER (column_name <> '{drift.PROBABILITY}') AS features, count(*) FILTER (column_name <> '{drift.PROBABILITY}' AND psi >= 0.25) AS drifted, bool_or(column_name = '{drift.PROBABILITY}' AND psi >= 0.25) AS probability_drifted FROM psi)"),
     "r_reference": sql(f"SELECT {PRICE_KEYS} FROM pool ORDER BY md5('{drift.SEED}:' || customer_id || ':' || article_id), customer_id, article_id LIMIT {drift.SAMPLE}", BACK),
     "r_unmatched": sql(f"SELECT {PRICE_KEYS} FROM pool WHERE CAST(('0x' || substr(md5('{drift.SEED}:' || customer_id || ':' || article_id), 1, 8)) AS BIGINT) % 1000 = 0"),
-    "r_matched": sql(f"SELECT {PRICE_KEYS}, CAST(label AS BIGINT) AS label FROM labelled WHERE CAST(('0x' || substr(md5('{drift.SEED}:' || customer_id), 1, 8)) AS BIGINT) % 4 = 0"),
+    "r_matched": sql(f"SELECT {PRICE_KEYS}, CAST(label AS BIGINT) AS label FROM labelled WHERE CAST(('0x' || substr(md5('{drift.SEED}:' || customer_id), 1, 8)) AS BIGINT) % 4 = 0", *TRAIN),
     "x_per_customer": sql(f"SELECT {_points('min p25 median p75 p90 p99 max')}, round(avg(n), 6) AS mean FROM (SELECT count(*) AS n FROM tx GROUP BY customer_id)"),
     "x_per_article": sql(f"SELECT {_points('min p25 median p75 p90 p99 max')}, round(avg(n), 6) AS mean FROM (SELECT count(*) AS n FROM tx GROUP BY article_id)"),
     "x_top_share": sql("SELECT percent, round(sum(n) FILTER (k <= greatest(1, floor(articles * percent / 100 + 0.5))) / sum(n), 6) AS share FROM (SELECT count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, article_id) AS k, count(*) OVER () AS articles FROM tx GROUP BY article_id), (SELECT unnest([1, 5, 10]) AS percent) GROUP BY percent"),

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 #: First day of the validation week of the test tables.
 ANCHOR = datetime.date(2001, 7, 26)
-VECTOR = 32
 
 TRANSACTIONS = T.StructType([T.StructField("t_dat", T.DateType()), T.StructField("customer_id", T.StringType()), T.StructField("article_id", T.StringType()), T.StructField("price", T.DoubleType()), T.StructField("sales_channel_id", T.IntegerType())])
 CUSTOMERS = T.StructType([T.StructField("customer_id", T.StringType()), T.StructField("FN", T.DoubleType()), T.StructField("Active", T.DoubleType()), T.StructField("club_member_status", T.StringType()), T.StructField("fashion_news_frequency", T.StringType()), T.StructField("age", T.IntegerType()), T.StructField("postal_code", T.StringType())])
@@ -40,8 +39,8 @@ def from_star(spark: SparkSession, sf_dir: str) -> Retail:
     """The retail tables made from the whole star schema of the test tables.
 
     Lines of orders are transactions, parts are articles, five neighbouring
-    parts are one product; vectors are the first 32 numbers of the embedding
-    with the part's number, if there is one.
+    parts are one product; vectors are the embeddings with the part's number, if
+    there is one.
     """
     read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
     orders = read("orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("t_dat"))
@@ -71,5 +70,5 @@ def from_star(spark: SparkSession, sf_dir: str) -> Retail:
         F.when(F.col("c_custkey") % 17 != 0, (18 + F.col("c_custkey") % 60).cast("int")).alias("age"),
         F.lpad(F.col("c_nationkey").cast("string"), 64, "0").alias("postal_code"),
     )
-    vectors = read("embeddings").select(_id("vec_id").alias("article_id"), F.transform(F.slice("embedding", 1, VECTOR), lambda x: x.cast("double")).alias("vector"))
+    vectors = read("embeddings").select(_id("vec_id").alias("article_id"), F.transform("embedding", lambda x: x.cast("double")).alias("vector"))
     return Retail(tx, articles, customers, vectors)
