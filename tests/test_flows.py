@@ -20,8 +20,13 @@ def test_train_and_score(spark, sf_dir, tmp_path):
     trained = flows.train_flow(r, str(tmp_path / "train"), ANCHOR, small)
     best = {x["ordering"]: x["map"] for x in trained["orderings"] if x["recency_bucket"] == "all"}
     assert set(best) == {"ranker", "popularity", "pool", "oracle"} and best["oracle"] >= max(best.values()) - 1e-12
-    assert 1 <= trained["trees"] <= 3 and trained["rows"]["scored"] == trained["rows"]["validation_pool"]
-    scored = flows.batch_score_flow(r, str(tmp_path / "train"), str(tmp_path / "score"), ANCHOR, "flow_store", small)
+    assert all(1 <= n <= 3 for n in trained["trees"].values()) and trained["rows"]["scored"] == trained["rows"]["validation_pool"]
+    with pytest.raises(RuntimeError, match="pinned"):
+        flows.batch_score_flow(r, str(tmp_path / "train"), str(tmp_path / "score"), ANCHOR, "flow_store", small, "another")
+    scored = flows.batch_score_flow(r, str(tmp_path / "train"), str(tmp_path / "score"), ANCHOR, "flow_store", small, trained["model_id"])
+    assert flows.load_store(spark, str(tmp_path / "score"), trained["model_id"]).count() == scored["rows"]["served"]
+    with pytest.raises(RuntimeError, match="pinned"):
+        flows.load_store(spark, str(tmp_path / "score"), "another")
     assert scored["rows"]["served"] == scored["rows"]["top12"] == spark.table("flow_store").count()
     assert scored["rows"]["offers"] <= r.customers.count()
     als = spark.read.parquet(str(tmp_path / "train" / "validation_pool")).where("rank_als IS NOT NULL").select("customer_id", "article_id")
@@ -44,8 +49,19 @@ def test_publish_is_all_or_nothing(spark, tmp_path):
         publish.publish_csv(spark, {"a": (str(tmp_path / "good.csv"), one), "b": (str(tmp_path / "bad.csv"), one)}, target)
     assert not (tmp_path / "out").exists() and not (tmp_path / "out.staging").exists()
     publish.publish_csv(spark, {"a": (str(tmp_path / "good.csv"), one)}, target)
-    got = spark.read.parquet(f"{target}/a")
+    got = publish.open_published(spark, target, "a")
     assert sorted(map(tuple, got.collect())) == [("001", 1), ("002", 2)]
+    (tmp_path / "out").rename(tmp_path / "out.before")  # as if a publishing had ended between its renames
+    assert publish.open_published(spark, target, "a").count() == 2
+    (tmp_path / "more.csv").write_text("customer_id,n\n003,1\n")
+    publish.publish_csv(spark, {"a": (str(tmp_path / "more.csv"), one)}, target)
+    assert [r.customer_id for r in publish.open_published(spark, target, "a").collect()] == ["003"] and not (tmp_path / "out.before").exists()
+    publish.publish_csv(spark, {"a": (str(tmp_path / "good.csv"), one)}, target)
+    with pytest.raises(FileNotFoundError):
+        publish.open_published(spark, target, "b")
+    publish.pin(spark, f"{target}/_production.json", "m1")
+    publish.require_pinned({"model_id": "m1"}, publish.read_manifest(spark, f"{target}/_production.json")["model_id"])
+    got = publish.open_published(spark, target, "a")
     publish.write_manifest(spark, f"{target}/_manifest.json", {"rows": 3})
     with pytest.raises(RuntimeError, match="3"):
         publish.assert_rows_match(got, publish.read_manifest(spark, f"{target}/_manifest.json"))

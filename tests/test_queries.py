@@ -77,8 +77,20 @@ def test_als_queries_fit_the_full_model(spark, sf_dir, monkeypatch, name, rank,
 
 
 @pytest.mark.parametrize("name, trees, probes", [("m_train", 500, True), ("m_top12", 500, True), ("x_importances", 500, True), ("m_train_backtest", 212, False)])
-def test_tree_queries_train_the_full_model(spark, sf_dir, monkeypatch, name, trees, probes):
-    """The first fit is the probe, without the last window; the backtest has no probe."""
+def test_ranker_queries_train_the_full_model(spark, sf_dir, monkeypatch, name, trees, probes):
+    """The first fit is the probe, judged on the last window; the backtest has no probe."""
+
+    def boosted(train, most, seed, judge=None, patience=models.PATIENCE):
+        raise Asked(most, judge is not None and train.agg(F.max("window_start")).first()[0] < judge.agg(F.min("window_start")).first()[0])
+
+    monkeypatch.setattr(models, "_boosted", boosted)
+    with pytest.raises(Asked) as asked:
+        __spark_entry__.queries()[name](spark, sf_dir)
+    assert asked.value.args == (trees, probes) and models.PATIENCE == 50
+
+
+def test_the_classifier_of_m_train_is_the_full_model(spark, sf_dir, monkeypatch):
+    """The first fit is the probe, without the last window."""
     real = models.train
 
     def train(matrix, *args, **more):
@@ -89,8 +101,9 @@ def test_tree_queries_train_the_full_model(spark, sf_dir, monkeypatch, name, tre
         raise Asked(self.getMaxIter(), df.agg(F.max("window_start")).first()[0] < last[0])
 
     last = []
+    monkeypatch.setattr(models, "train_ranker", lambda matrix: None)
     monkeypatch.setattr(models, "train", train)
     monkeypatch.setattr(GBTClassifier, "fit", fit)
     with pytest.raises(Asked) as asked:
-        __spark_entry__.queries()[name](spark, sf_dir)
-    assert asked.value.args == (trees, probes)
+        __spark_entry__.queries()["m_train"](spark, sf_dir)
+    assert asked.value.args == (500, True)

@@ -67,6 +67,19 @@ def difference(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.exceptAll(b.select(*columns)).withColumn("side", F.lit("left")).unionByName(b.select(*columns).exceptAll(a).withColumn("side", F.lit("right")))
 
 
+def require_same_answers(sample: DataFrame, whole: DataFrame, customers: DataFrame, k: int = 12) -> DataFrame:
+    """A sample store, after checks: every chosen customer, ``k`` rows each at most, and the answers of the whole store."""
+    sizes = customers.select("customer_id").distinct().join(sample.groupBy("customer_id").agg(F.count("*").alias("n")), "customer_id", "full")
+    wrong = sizes.where(F.col("n").isNull() | (F.col("n") > k)).head(1)
+    if wrong:
+        raise RuntimeError(f"customer {wrong[0]['customer_id']} has {wrong[0]['n']} rows in the sample, not 1 to {k}")
+    some = whole.join(customers.select("customer_id").distinct(), "customer_id", "left_semi")
+    other = difference(recommendations(sample, k), recommendations(some, k)).head(1)
+    if other:
+        raise RuntimeError(f"the sample and the whole store answer differently for customer {other[0]['customer_id']}")
+    return sample
+
+
 def random_customers(store: DataFrame, n: int, seed: int) -> list[str]:
     """n different customers: the first id at or after a random point, around the end if need be."""
     ids = store.select("customer_id").distinct()
@@ -76,15 +89,14 @@ def random_customers(store: DataFrame, n: int, seed: int) -> list[str]:
     rng, found = random.Random(seed), []
     same = len(os.path.commonprefix([low, high]))  # points lie where ids do
     alphabet = "0123456789abcdef" if re.search("[a-f]", high) else "0123456789"
-    for _ in range(50 * n):
+    for _ in range(5):  # one scan answers many points
+        points = [high[:same] + "".join(rng.choice(alphabet) for _ in high[same:]) for _ in range(10 * n)]
+        rows = ids.agg(*[F.min(F.when(F.col("customer_id") >= p, F.col("customer_id"))) for p in points]).first()
+        for row in rows:
+            if (row or low) not in found and len(found) < n:
+                found.append(row or low)
         if len(found) == n:
             return found
-        digits = high[:same] + "".join(rng.choice(alphabet) for _ in high[same:])
-        row = ids.where(F.col("customer_id") >= digits).agg(F.min("customer_id")).first()[0] or low
-        if row not in found:
-            found.append(row)
-    if len(found) == n:
-        return found
     raise RuntimeError("too few customers")
 
 

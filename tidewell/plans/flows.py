@@ -7,16 +7,17 @@ so a flow can be resumed at a stage and survives lost executors.
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.ml.regression import IsotonicRegressionModel
+from pyspark.ml.regression import GBTRegressionModel, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators import als, calibrate, candidates, drift, evaluate, features, models, offers, periods, store
-from tidewell.sources.publish import assert_exact, read_manifest, write_manifest
+from tidewell.sources.publish import assert_exact, read_manifest, require_pinned, write_manifest
 from tidewell.sources.retail import Retail
 
 
@@ -69,11 +70,12 @@ def train_flow(r: Retail, path: str, anchor: datetime.date, settings: Settings =
     labelled = folder.stage("labelled", lambda: periods.training_labels(train_pool, periods.actual_purchases(r.tx, train)))
     matrix = folder.stage("matrix", lambda: features.training_matrix(labelled, r.tx, r.articles, r.customers, r.vectors, train))
     valid = folder.stage("validation_features", lambda: features.build(valid_pool, r.tx, r.articles, r.customers, r.vectors, week))
-    trained = models.train(matrix, settings.trees)
-    trained.model.write().overwrite().save(f"{folder.path}/model")
-    trained.mapping.write.mode("overwrite").parquet(f"{folder.path}/mapping")
+    ranker, classifier = models.train_ranker(matrix, settings.trees), models.train(matrix, settings.trees)
+    ranker.model.write().overwrite().save(f"{folder.path}/ranker")
+    classifier.model.write().overwrite().save(f"{folder.path}/classifier")
+    classifier.mapping.write.mode("overwrite").parquet(f"{folder.path}/mapping")
     actual = folder.stage("actual", lambda: periods.actual_purchases(r.tx, week))
-    scored = folder.stage("scored", lambda: models.scored(trained, valid).join(actual.withColumn("h", F.lit(1)), [*candidates.KEYS, "article_id"], "left").withColumn("label", F.coalesce("h", F.lit(0))).drop("h").withColumn("bucket", calibrate.customer_bucket()))
+    scored = folder.stage("scored", lambda: models.scored_by({"ranker_score": ranker, "raw_prob": classifier}, valid).join(actual.withColumn("h", F.lit(1)), [*candidates.KEYS, "article_id"], "left").withColumn("label", F.coalesce("h", F.lit(0))).drop("h").withColumn("bucket", calibrate.customer_bucket()))
     fit, held = scored.where(calibrate.in_fit(F.col("bucket"))), scored.where(calibrate.in_eval(F.col("bucket")))
     if fit.select("customer_id").intersect(held.select("customer_id")).head(1):
         raise RuntimeError("a customer is in the fit and the evaluation part")
@@ -81,7 +83,7 @@ def train_flow(r: Retail, path: str, anchor: datetime.date, settings: Settings =
     calibrator.write().overwrite().save(f"{folder.path}/calibrator")
     judged = calibrate.apply_calibrator(calibrator, held)
     buckets = evaluate.recency(r.tx, r.customers, week)
-    ranked = evaluate.score_order(scored.withColumnRenamed("raw_prob", "ranker_score"))
+    ranked = evaluate.score_order(scored)
     top = candidates.recent_top(r.tx, week)
     named = {
         "ranker": evaluate.ap_per_customer(ranked, actual),
@@ -90,7 +92,7 @@ def train_flow(r: Retail, path: str, anchor: datetime.date, settings: Settings =
         "oracle": evaluate.oracle_ap(valid_pool, actual),
     }
     manifest = {
-        "anchor": str(anchor), "trees": trained.model.getNumTrees, "rows": {n: folder.read(n).count() for n in ("train_pool", "validation_pool", "matrix", "scored")},
+        "anchor": str(anchor), "model_id": uuid.uuid4().hex, "trees": {"ranker": ranker.model.getNumTrees, "classifier": classifier.model.getNumTrees}, "rows": {n: folder.read(n).count() for n in ("train_pool", "validation_pool", "matrix", "scored")},
         "recall": _metrics(evaluate.recall_report(valid_pool, actual, buckets)), "orderings": _metrics(evaluate.orderings(named, buckets)),
         "brier": {"raw": _metrics(calibrate.brier_table(judged, "raw_prob")), "calibrated": _metrics(calibrate.brier_table(judged))},
     }
@@ -98,15 +100,27 @@ def train_flow(r: Retail, path: str, anchor: datetime.date, settings: Settings =
     return manifest
 
 
-def batch_score_flow(r: Retail, model_path: str, path: str, date: datetime.date, table: str | None = None, settings: Settings = Settings()) -> dict:  # noqa: B008
-    """Candidates and features of a date, the trained models' scores, the decision and the store; returns the manifest."""
+def batch_score_flow(r: Retail, model_path: str, path: str, date: datetime.date, table: str | None = None, settings: Settings = Settings(), pinned: str | None = None, known: DataFrame | None = None) -> dict:  # noqa: B008
+    """Candidates and features of a date, the trained models' scores, the decision and the store; returns the manifest.
+
+    With ``pinned`` any other model is refused. ``known`` has raw probabilities
+    of an earlier run of the same model; only pairs that it lacks are scored.
+    """
     spark = r.tx.sparkSession
     folder, week = Folder(spark, path), [date]
-    trained = models.Trained(GBTClassificationModel.load(f"{model_path}/model"), spark.read.parquet(f"{model_path}/mapping"), [])
+    of_model = read_manifest(spark, f"{model_path}/_manifest.json")
+    require_pinned(of_model, pinned)
+    mapping = spark.read.parquet(f"{model_path}/mapping")
+    ranker = models.Trained(GBTRegressionModel.load(f"{model_path}/ranker"), mapping, [])
+    classifier = models.Trained(GBTClassificationModel.load(f"{model_path}/classifier"), mapping, [])
     calibrator = IsotonicRegressionModel.load(f"{model_path}/calibrator")
     now = folder.stage("pool", lambda: pool(r, week, settings))
     wide = folder.stage("features", lambda: features.build(now, r.tx, r.articles, r.customers, r.vectors, week))
-    top = folder.stage("top12", lambda: calibrate.apply_calibrator(calibrator, models.top12(trained, wide).withColumn("raw_prob", F.col("ranker_score"))))
+    best = folder.stage("best", lambda: models.top12(ranker, wide))
+    key = [*candidates.KEYS, "article_id"]
+    asked = wide.join(best.select(*key), key, "left_semi")  # probabilities are for the twelve alone
+    raw = folder.stage("raw", lambda: models.scored(classifier, asked) if known is None else models.scored_missing(classifier, asked, known))
+    top = folder.stage("top12", lambda: calibrate.apply_calibrator(calibrator, best.join(raw.select(*key, "raw_prob"), key)))
     prices = folder.stage("prices", lambda: offers.trailing_price(r.tx, date))
     cost = offers.contact_cost(prices, settings.cost_multiplier)
     marked = offers.with_eligibility(top, offers.recently_sold(r.tx, date), offers.recently_bought(r.tx, date))
@@ -120,11 +134,17 @@ def batch_score_flow(r: Retail, model_path: str, path: str, date: datetime.date,
         assert_exact(served, n)
     if table:
         store.save(served, table)
-    manifest = {"date": str(date), "model": read_manifest(spark, f"{model_path}/_manifest.json")["anchor"], "rows": {x: folder.read(x).count() for x in ("pool", "top12", "offers", "served")}, "coverage": _metrics(offers.coverage(selected, r.customers))}
+    manifest = {"date": str(date), "model": of_model["anchor"], "model_id": of_model["model_id"], "rows": {x: folder.read(x).count() for x in ("pool", "top12", "offers", "served")}, "coverage": _metrics(offers.coverage(selected, r.customers))}
     write_manifest(spark, f"{folder.path}/_manifest.json", manifest)
     return manifest
 
 
+def load_store(spark: SparkSession, path: str, pinned: str | None = None) -> DataFrame:
+    """The served rows of a scoring flow; refused if another model than the pinned one scored them."""
+    require_pinned(read_manifest(spark, f"{path.rstrip('/')}/_manifest.json"), pinned)
+    return Folder(spark, path).read("served")
+
+
 def drift_gate(reference: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str], least: int = drift.LEAST_ROWS) -> dict:
     """The verdict on two samples; only a matched comparison should gate."""
     table = drift.psi(reference, current, numeric, categorical)

@@ -55,32 +55,41 @@ def joined_strategies(df: DataFrame) -> DataFrame:
     return df.withColumn("strategies", F.array_join("strategies", ",")) if "strategies" in df.columns else df
 
 
-def pool_of(r: Retail, starts=(WS,)) -> DataFrame:
-    return candidates.pooled(candidates.strategies(r.tx, r.articles, r.customers, starts))
+def pool_of(r: Retail, starts=(WS,), some: DataFrame | None = None) -> DataFrame:
+    """The pool of all customers, or of ``some``, from what all have bought."""
+    if some is None:
+        return candidates.pooled(candidates.strategies(r.tx, r.articles, r.customers, starts))
+    few = r.customers.join(some.select("customer_id").distinct(), "customer_id", "left_semi")
+    return candidates.pooled({
+        "repurchase": candidates.repurchases(r.tx, starts, customers=some),
+        "colour_variant": candidates.colour_variants(r.tx, r.articles, starts, customers=some),
+        "recent_popularity": candidates.recent_popularity(candidates.recent_top(r.tx, starts), few, starts),
+        "segment_popularity": candidates.segment_popularity(candidates.segment_top(r.tx, r.customers, starts), few, starts),
+    })
 
 
 def truth(r: Retail, starts=(WS,)) -> DataFrame:
     return periods.actual_purchases(r.tx, starts)
 
 
-def surrogate(r: Retail) -> DataFrame:
+def surrogate(r: Retail, some: DataFrame | None = None) -> DataFrame:
     """The pool with a score, a probability, the label, the price and the customer's bucket."""
-    pool = pool_of(r).withColumn("ranker_score", (F.col("n_strategies") * 100 - F.col("best_rank")).cast("double")).withColumn("p_purchase", F.round(1.0 / (20 + F.col("best_rank")), 6))
+    pool = pool_of(r, some=some).withColumn("ranker_score", (F.col("n_strategies") * 100 - F.col("best_rank")).cast("double")).withColumn("p_purchase", F.round(1.0 / (20 + F.col("best_rank")), 6))
     hits = truth(r).withColumn("__hit", F.lit(1))
     out = pool.join(hits, [*KEYS, "article_id"], "left").withColumn("label", F.coalesce("__hit", F.lit(0)).cast("long")).drop("__hit")
     out = out.join(offers.trailing_price(r.tx, WS), "article_id", "left")
     return out.withColumn("bucket", calibrate.customer_bucket().cast("long"))
 
 
-def scored12(r: Retail) -> DataFrame:
+def scored12(r: Retail, some: DataFrame | None = None) -> DataFrame:
     """The twelve best of each customer with eligibility, cost and expected value."""
     cost = offers.contact_cost(offers.trailing_price(r.tx, WS))
-    marked = offers.with_eligibility(evaluate.score_order(surrogate(r)), offers.recently_sold(r.tx, WS), offers.recently_bought(r.tx, WS))
+    marked = offers.with_eligibility(evaluate.score_order(surrogate(r, some)), offers.recently_sold(r.tx, WS), offers.recently_bought(r.tx, WS))
     return offers.with_cost(marked, cost).withColumn("expected_value", offers.expected_value())
 
 
-def selected(r: Retail) -> DataFrame:
-    return offers.select_offers(scored12(r))
+def selected(r: Retail, some: DataFrame | None = None) -> DataFrame:
+    return offers.select_offers(scored12(r, some))
 
 
 def top1(r: Retail) -> DataFrame:
@@ -288,8 +297,8 @@ def e_recency_buckets(r: Retail) -> DataFrame:
     return evaluate.recency(r.tx, r.customers, [WS])
 
 
-def ranked_surrogate(r: Retail) -> DataFrame:
-    return evaluate.score_order(surrogate(r))
+def ranked_surrogate(r: Retail, some: DataFrame | None = None) -> DataFrame:
+    return evaluate.score_order(surrogate(r, some))
 
 
 @query
@@ -472,10 +481,10 @@ def n_offer_summary_surrogate(r: Retail) -> DataFrame:
 # --- store
 
 
-def store_of(r: Retail) -> DataFrame:
-    top = ranked_surrogate(r)
+def store_of(r: Retail, some: DataFrame | None = None) -> DataFrame:
+    top = ranked_surrogate(r, some)
     top = offers.with_eligibility(top, offers.recently_sold(r.tx, WS), offers.recently_bought(r.tx, WS)).drop("strategies", "price")
-    return store.served(top, pool_of(r), offers.trailing_price(r.tx, WS), selected(r))
+    return store.served(top, pool_of(r, some=some), offers.trailing_price(r.tx, WS), selected(r, some))
 
 
 @query
@@ -513,11 +522,21 @@ def g_checksum(r: Retail) -> DataFrame:
     return store.checksum(r.tx)
 
 
+def sample_of(r: Retail) -> DataFrame:
+    return written(store.sampled(evaluate.recency(r.tx, r.customers, [WS])).select("customer_id"), "sample")
+
+
+@query
+def s_sample_store_surrogate(r: Retail) -> DataFrame:
+    """The store of the sampled customers, built from their own candidates."""
+    return rounded(store_of(r, sample_of(r)).withColumn("ranker_score", F.col("ranker_score").cast("double")), 4)
+
+
 @query
 def s_sample_difference(r: Retail) -> DataFrame:
-    some = store.sampled(evaluate.recency(r.tx, r.customers, [WS])).select("customer_id")
-    whole = store_of(r).drop("ranker_score", "expected_value")
-    return store.difference(whole.join(some, "customer_id", "left_semi"), whole.where(F.col("customer_id").isNotNull()).join(some, "customer_id", "left_semi"))
+    """Answers that differ between the store of the sample, built by itself, and the whole store; there must be none."""
+    some = sample_of(r)
+    return store.difference(*(store.recommendations(s.join(some, "customer_id", "left_semi")) for s in (store_of(r), store_of(r, some))))
 
 
 # --- drift
@@ -554,7 +573,7 @@ def r_unmatched(r: Retail) -> DataFrame:
 
 @query
 def r_matched(r: Retail) -> DataFrame:
-    got = periods.training_labels(drift.customers_in(pool_of(r)), truth(r))
+    got = periods.training_labels(drift.customers_in(pool_of(r, TRAIN)), truth(r, TRAIN))
     return got.select(*KEYS, "article_id", F.col("label").cast("long").alias("label"))
 
 
@@ -656,24 +675,26 @@ def c_pool_with_als(r: Retail) -> DataFrame:
 
 @query
 def m_train(r: Retail) -> DataFrame:
-    got = models.train(matrix_of(r))
-    return r.tx.sparkSession.createDataFrame([(k + 1, x, k + 1 == got.model.getNumTrees) for k, x in enumerate(got.losses)], "trees int, loss double, chosen boolean")
+    matrix = written(matrix_of(r), "matrix")
+    both = {"ranker": models.train_ranker(matrix), "classifier": models.train(matrix)}
+    rows = [(name, k + 1, x, k + 1 == got.model.getNumTrees) for name, got in both.items() for k, x in enumerate(got.losses)]
+    return r.tx.sparkSession.createDataFrame(rows, "which string, trees int, loss double, chosen boolean")
 
 
 @query
 def m_train_backtest(r: Retail) -> DataFrame:
-    got = models.train(matrix_of(r, tuple(TRAIN[:3])), trees=BACKTEST_TREES)
+    got = models.train_ranker(matrix_of(r, tuple(TRAIN[:3])), trees=BACKTEST_TREES)
     return models.importances(got)
 
 
 @query
 def m_top12(r: Retail) -> DataFrame:
-    return models.top12(models.train(matrix_of(r)), features.build(pool_of(r), r.tx, r.articles, r.customers, r.vectors, [WS]))
+    return models.top12(models.train_ranker(matrix_of(r)), features.build(pool_of(r), r.tx, r.articles, r.customers, r.vectors, [WS]))
 
 
 @query
 def x_importances(r: Retail) -> DataFrame:
-    return models.importances(models.train(matrix_of(r)))
+    return models.importances(models.train_ranker(matrix_of(r)))
 
 
 @query
