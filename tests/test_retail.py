@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidewell.functions.columns import age_bucket, cosine
-from tidewell.functions.frames import global_rank
+from tidewell.functions.frames import global_rank, percentiles
 from tidewell.operators import calibrate, candidates, contracts, drift, evaluate, features, models, offers, periods, store, text
 
 WS = datetime.date(2020, 9, 16)
@@ -21,12 +22,21 @@ def tx_of(spark, rows):
     return spark.createDataFrame([(d, c, a, float(p), s) for d, c, a, p, s in rows], TX)
 
 
+#: Purchases of a made-up bookshop: reader, book, day of September. Ida has bought nothing.
+PURCHASES = [
+    ("ben", "atlas", 2), ("ben", "atlas", 13), ("ben", "novel", 14),
+    ("cleo", "novel", 10), ("cleo", "poems", 10), ("dan", "novel", 15), ("dan", "comic", 15),
+    ("eve", "poems", 12), ("eve", "comic", 11), ("fay", "novel", 4), ("gus", "comic", 14), ("gus", "comic", 9),
+]
+#: The work of which a book is an edition.
+EDITIONS = {"atlas": "maps", "atlas-2": "maps", "novel": "prose", "novel-2": "prose", "novel-3": "prose", "poems": "verse", "comic": "strips"}
+AGES = {"ben": 31, "cleo": 33, "dan": 52, "eve": None, "fay": 33, "gus": 70, "ida": 28}
+
+
 @pytest.fixture(scope="module")
 def shop(spark):
-    tx = tx_of(spark, [(D(9, d), c, a, 0.1, 1) for c, a, d in [("c1", "a1", 10), ("c1", "a2", 12), ("c2", "a1", 14), ("c2", "a3", 15), ("c3", "a1", 13), ("c3", "a2", 11), ("c4", "a3", 14), ("c4", "a4", 12), ("c5", "a2", 9), ("c6", "a1", 10)]])
-    articles = spark.createDataFrame([(f"a{k}", p) for k, p in ((1, "p1"), (2, "p1"), (3, "p2"), (4, "p2"), (5, "p3"))], "article_id string, product_code string")
-    customers = spark.createDataFrame([(f"c{k}", a) for k, a in enumerate((22, 40, None, 55, 30, 65, 19), 1)], "customer_id string, age int")
-    return tx, articles, customers
+    tx = tx_of(spark, [(D(9, day), reader, book, 4.5, 2) for reader, book, day in PURCHASES])
+    return tx, spark.createDataFrame(list(EDITIONS.items()), "article_id string, product_code string"), spark.createDataFrame(list(AGES.items()), "customer_id string, age int")
 
 
 def test_age_buckets_are_right_closed(spark):
@@ -36,42 +46,68 @@ def test_age_buckets_are_right_closed(spark):
 
 
 def test_horizons_of_retrieval(spark):
-    early = WS - datetime.timedelta(days=364)
-    tx = tx_of(spark, [(early, "c1", "a1", 1, 1), (early - datetime.timedelta(days=1), "c1", "a2", 1, 1), (WS, "c1", "a3", 1, 1)])
-    assert [r.article_id for r in candidates.repurchases(tx, [WS]).collect()] == ["a1"]
+    days = {"first": 364, "too-old": 365, "yesterday": 1, "today": 0, "tomorrow": -1}
+    tx = tx_of(spark, [(WS - datetime.timedelta(days=n), "ben", book, 1, 1) for book, n in days.items()])
+    assert [(r.article_id, r["rank"]) for r in candidates.repurchases(tx, [WS]).orderBy("rank").collect()] == [("yesterday", 1), ("first", 2)]
 
 
 def test_strategies(shop):
     tx, articles, customers = shop
-    flat = lambda df: sorted((r.customer_id, r.article_id, r["rank"]) for r in df.collect())
-    assert flat(candidates.repurchases(tx, [WS]))[:4] == [("c1", "a1", 2), ("c1", "a2", 1), ("c2", "a1", 2), ("c2", "a3", 1)]
-    variants = flat(candidates.colour_variants(tx, articles, [WS]))
-    assert variants[:4] == [("c1", "a1", 1), ("c1", "a2", 2), ("c2", "a2", 2), ("c2", "a4", 1)]
+    by_reader = lambda df, who: [r.article_id for r in df.where(F.col("customer_id") == who).orderBy("rank").collect()]
+    again = candidates.repurchases(tx, [WS])
+    assert {w: by_reader(again, w) for w in AGES} == {"ben": ["novel", "atlas"], "cleo": ["novel", "poems"], "dan": ["comic", "novel"], "eve": ["poems", "comic"], "fay": ["novel"], "gus": ["comic"], "ida": []}
+    variants = candidates.colour_variants(tx, articles, [WS])
+    assert by_reader(variants, "ben") == ["novel-2", "novel-3", "atlas-2"] and by_reader(variants, "fay") == ["novel-2", "novel-3"] and by_reader(variants, "eve") == []
+    both = candidates.colour_variants(tx.unionByName(tx_of(tx.sparkSession, [(D(9, 8), "ben", "novel-2", 1, 1)])), articles, [WS])
+    assert by_reader(both, "ben") == ["novel-2", "novel-3", "atlas-2", "novel"]  # each edition by the latest purchase of another one
     top = candidates.recent_top(tx, [WS]).orderBy("rank").collect()
-    assert [(r.article_id, r.n) for r in top] == [("a1", 4), ("a2", 3), ("a3", 2), ("a4", 1)]
-    assert candidates.recent_popularity(candidates.recent_top(tx, [WS], 2), customers, [WS]).count() == 14
-    segment = flat(candidates.segment_popularity(candidates.segment_top(tx, customers, [WS]), customers, [WS]))
-    assert [x for x in segment if x[0] in ("c3", "c7")] == [("c3", "a1", 1), ("c3", "a2", 2), ("c7", "a1", 1), ("c7", "a2", 2)]
+    assert [(r.article_id, r.n) for r in top] == [("comic", 4), ("novel", 3), ("poems", 2), ("atlas", 1)]
+    assert candidates.recent_popularity(candidates.recent_top(tx, [WS], 3), customers, [WS]).count() == 3 * len(AGES)
+    segment = candidates.segment_popularity(candidates.segment_top(tx, customers, [WS]), customers, [WS])
+    assert by_reader(segment, "ida") == by_reader(segment, "cleo") == ["novel", "atlas", "poems"] and by_reader(segment, "gus") == ["comic"] and by_reader(segment, "eve") == ["comic", "poems"]
 
 
 def test_pool_is_consistent_and_the_same_twice(shop):
     tx, articles, customers = shop
     build = lambda: candidates.pooled(candidates.strategies(tx, articles, customers, [WS]))
-    rows = sorted(map(tuple, build().collect()), key=str)
-    assert rows == sorted(map(tuple, build().collect()), key=str)
-    for r in build().collect():
-        ranks = {s: r[f"rank_{s}"] for s in candidates.STRATEGIES}
-        named = [s for s, v in ranks.items() if v is not None]
-        assert sorted(named) == r.strategies and len(named) == r.n_strategies and min(v for v in ranks.values() if v is not None) == r.best_rank
-    assert {r.customer_id for r in build().collect()} == {f"c{k}" for k in range(1, 8)}
-    assert candidates.pooled(candidates.strategies(tx, articles, customers, [WS]), 3).groupBy("customer_id").count().agg(F.max("count")).first()[0] == 3
-    with pytest.raises(ValueError, match="c7"):
+    first, second = build(), build()
+    assert first.exceptAll(second).count() == 0 == second.exceptAll(first).count()
+    rows = first.collect()
+    for r in rows:
+        ranks = {s: r[f"rank_{s}"] for s in candidates.STRATEGIES if r[f"rank_{s}"] is not None}
+        assert (sorted(ranks), len(ranks), min(ranks.values())) == (r.strategies, r.n_strategies, r.best_rank)
+    assert {r.customer_id for r in rows} == set(AGES)
+    small = candidates.pooled(candidates.strategies(tx, articles, customers, [WS]), 2).groupBy("customer_id").count().collect()
+    assert {r["count"] for r in small} == {2}
+    with pytest.raises(ValueError, match="ida"):
         candidates.require_candidates(candidates.pooled({"repurchase": candidates.repurchases(tx, [WS])}), customers, [WS])
 
 
+@pytest.mark.parametrize("cap", [3, 40])
+def test_als_with_one_very_heavy_customer(spark, cap):
+    from tidewell.operators import als
+
+    rows = [(D(8, 1), f"c{k:02d}", f"a{(k * 7 + j) % 60:02d}", 1, 1) for k in range(40) for j in range(1 + k % 4)]
+    rows += [(D(8, 2), "heavy", f"a{j:02d}", 1, 1) for j in range(55)]
+    tx = tx_of(spark, rows)
+    fitted = als.fit(tx, WS, 4, 2)
+    asked, real = [], type(fitted.model).recommendForUserSubset
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(fitted.model), "recommendForUserSubset", lambda self, users, n: asked.append((users.count(), n)) or real(self, users, n))
+        got = als.recommend(fitted, WS, cap).collect()
+    assert sorted(asked) == sorted([(1, cap + 55), (10, cap + 1), (20, cap + 3), (10, cap + 4)])
+    bought = {(c, a) for _, c, a, *_ in rows}
+    known = len({a for _, a in bought})
+    by = {}
+    for r in got:
+        by.setdefault(r.customer_id, []).append(r.article_id)
+    assert not bought & {(r.customer_id, r.article_id) for r in got}
+    assert {c: len(a) for c, a in by.items()} == {c: min(cap, known - sum(x == c for x, _ in bought)) for c in {c for c, _ in bought} if known > sum(x == c for x, _ in bought)}
+
+
 def test_windows_together_are_windows_apart(shop):
     tx, articles, customers = shop
-    starts = [D(9, 13), WS]
+    starts = [D(9, 12), WS]
     both = candidates.pooled(candidates.strategies(tx, articles, customers, starts))
     for s in starts:
         alone = candidates.pooled(candidates.strategies(tx, articles, customers, [s]))
@@ -84,58 +120,75 @@ def test_label_windows(spark):
 
 
 def test_labels_stay_inside_the_window(spark):
-    start = D(9, 9)
-    pairs = [(start, "c1", f"a{k}", ["repurchase"]) for k in range(1, 6)] + [(start, "c2", f"a{k}", ["als"]) for k in range(1, 4)]
-    pool = spark.createDataFrame(pairs, "window_start date, customer_id string, article_id string, strategies array<string>")
-    tx = tx_of(spark, [(D(9, 10), "c1", "a1", 1, 1), (D(9, 5), "c1", "a2", 1, 1), (D(9, 16), "c2", "a1", 1, 1), (D(9, 10), "c1", "a9", 1, 1)])
-    got = periods.training_labels(pool, periods.actual_purchases(tx, [start]), negatives=2).collect()
-    assert {r.customer_id for r in got} == {"c1"} and [r.article_id for r in got if r.label] == ["a1"] and len(got) == 3
+    start = D(8, 26)
+    offered = {"ben": ["atlas", "novel", "poems", "comic", "essay", "diary"], "cleo": ["atlas", "novel"], "dan": ["poems"]}
+    pool = spark.createDataFrame([(start, who, book) for who, books in offered.items() for book in books], "window_start date, customer_id string, article_id string")
+    days = {("ben", "novel"): D(8, 26), ("ben", "poems"): D(9, 1), ("ben", "comic"): D(8, 25), ("ben", "unseen"): D(8, 28), ("cleo", "atlas"): D(9, 2), ("dan", "poems"): D(8, 20)}
+    tx = tx_of(spark, [(day, who, book, 1, 1) for (who, book), day in days.items()])
+    got = periods.training_labels(pool, periods.actual_purchases(tx, [start]), negatives=1).collect()
+    # the first and the last day count, the days beside them don't; two purchases get two others, and nobody else has any
+    assert sorted(r.article_id for r in got if r.label) == ["novel", "poems"] and {r.customer_id for r in got} == {"ben"} and len(got) == 4
+
+
+SHOES = "article_id string, product_code string, colour_group_name string, department_name string, product_type_name string, index_group_name string, garment_group_name string"
 
 
 @pytest.fixture(scope="module")
 def detail(spark):
-    tx = tx_of(spark, [(D(9, 10), "c1", "a1", 10, 1), (D(9, 12), "c1", "a2", 20, 2), (WS, "c1", "a3", 999, 1), (D(9, 11), "c2", "a1", 5, 1), (D(9, 9), "c2", "a1", 5, 1)])
-    same = ("p1", "red", "dept1", "t1", "ig1", "g1")
-    articles = spark.createDataFrame([("a1", *same), ("a2", *same), ("a3", "p2", "blue", "dept2", "t2", "ig2", "g2")], "article_id string, product_code string, colour_group_name string, department_name string, product_type_name string, index_group_name string, garment_group_name string")
-    customers = spark.createDataFrame([("c1", 30, "x", None), ("c2", None, "x", None), ("c3", 40, None, "y")], "customer_id string, age int, club_member_status string, fashion_news_frequency string")
-    vectors = spark.createDataFrame([("a1", [1.0] + [0.0] * 31), ("a2", [0.0, 1.0] + [0.0] * 30)], "article_id string, vector array<double>")
+    """Two walkers with purchases, one without, and one purchase on the window's first day."""
+    bought = [("mia", "boot", 30, 2, D(9, 1)), ("mia", "clog", 60, 1, D(8, 10)), ("mia", "boot", 36, 2, D(9, 11)), ("mia", "sock", 500, 1, WS), ("noa", "boot", 24, 1, D(6, 10)), ("noa", "clog", 40, 2, D(9, 14))]
+    tx = tx_of(spark, [(day, who, shoe, price, channel) for who, shoe, price, channel, day in bought])
+    articles = spark.createDataFrame([("boot", "leather", "brown", "winter", "high", "g1", "h1"), ("clog", "wood", "brown", "summer", "low", "g1", "h1"), ("sock", "wool", "grey", "winter", "soft", "g2", "h2"), ("lace", None, None, None, "soft", "g2", "h2")], SHOES)
+    customers = spark.createDataFrame([("mia", 44, "gold", None), ("noa", None, None, "weekly"), ("otto", 66, "gold", None)], "customer_id string, age int, club_member_status string, fashion_news_frequency string")
+    vectors = spark.createDataFrame([("boot", [3.0, 0.0, 4.0]), ("clog", [0.0, 2.0, 0.0])], "article_id string, vector array<double>")
     return tx, articles, customers, vectors
 
 
 def test_customer_features(detail):
     tx, _, customers, _ = detail
     got = {r.customer_id: r for r in features.customer_features(tx, customers, [WS]).collect()}
-    c1, c3 = got["c1"], got["c3"]
-    assert (c1.txn_count_total, c1.distinct_article_count_total, c1.mean_purchase_price, c1.days_since_last_purchase) == (2, 2, 15.0, 4)
-    assert (c1.share_sales_channel_1, c1.txn_count_1w, c1.std_purchase_price) == (0.5, 2, pytest.approx(50**0.5))
-    assert (c3.txn_count_total, c3.days_since_last_purchase, c3.mean_purchase_price, c3.age_bucket) == (0, None, None, "35-44")
-    assert got["c2"].distinct_article_count_total == 1 and got["c2"].age_bucket == "unknown"
+    mia, noa, otto = (got[k] for k in ("mia", "noa", "otto"))
+    assert (mia.txn_count_total, mia.distinct_article_count_total, mia.mean_purchase_price, mia.days_since_last_purchase) == (3, 2, 42.0, 5)
+    assert (mia.txn_count_1w, mia.txn_count_4w, mia.txn_count_12w, mia.distinct_article_count_4w, mia.distinct_article_count_12w) == (1, 2, 3, 1, 2)
+    assert (mia.share_sales_channel_2, mia.std_purchase_price) == (pytest.approx(2 / 3), pytest.approx(((12**2 + 18**2 + 6**2) / 2) ** 0.5))
+    assert (noa.txn_count_total, noa.txn_count_12w, noa.age_bucket, noa.fashion_news_frequency) == (2, 1, "unknown", "weekly")
+    assert (otto.txn_count_total, otto.txn_count_1w, otto.days_since_last_purchase, otto.mean_purchase_price, otto.age_bucket) == (0, 0, None, None, "65+")
 
 
 def test_article_features(detail, spark):
     tx, articles, *_ = detail
     got = {r.article_id: r for r in features.article_features(tx, articles, [WS]).collect()}
-    assert (got["a1"].distinct_buyers_total, got["a1"].article_mean_price) == (2, pytest.approx(20 / 3))
-    assert (got["a3"].distinct_buyers_total, got["a3"].article_mean_price, got["a3"].purchase_count_1w) == (0, None, 0)
-    sales = tx_of(spark, [(D(9, d), "c1", "a1", 1, 1) for d in (5, 6, 7, 13)])
-    assert features.article_features(sales, articles, [WS]).where("article_id = 'a1'").first().purchase_count_wow_trend == -2
+    boot, sock = got["boot"], got["sock"]
+    assert (boot.distinct_buyers_total, boot.article_mean_price, boot.purchase_count_4w, boot.days_since_first_sale, boot.days_since_last_sale) == (2, 30.0, 2, 98, 5)
+    assert (sock.distinct_buyers_total, sock.article_mean_price, sock.purchase_count_12w, sock.days_since_last_sale) == (0, None, 0, None)
+    weeks = tx_of(spark, [(WS - datetime.timedelta(days=n), "mia", "boot", 1, 1) for n in (1, 3, 7, 8, 14, 15)])
+    assert features.article_features(weeks, articles, [WS]).where("article_id = 'boot'").first().purchase_count_wow_trend == 3 - 2
 
 
-def test_pair_features(detail, spark):
+@pytest.mark.parametrize("most", [1 << 27, 0])
+def test_pair_features(detail, spark, monkeypatch, most):
+    from tidewell.functions import frames
+
+    monkeypatch.setattr(frames.join_small, "__defaults__", ("left", most))  # broadcast, or salted
     tx, articles, customers, vectors = detail
     who, what = features.customer_features(tx, customers, [WS]), features.article_features(tx, articles, [WS])
-    pairs = spark.createDataFrame([(WS, "c1", "a2"), (WS, "c3", "a1"), (WS, "c1", "a3")], "window_start date, customer_id string, article_id string")
-    got = {(r.customer_id, r.article_id): r for r in features.pair_features(pairs, tx, articles, who, what, vectors, features.recent_text_mean(tx, vectors, [WS]), [WS]).collect()}
-    r = got["c1", "a2"]
-    assert tuple(r)[3:8] == (1, 4, 2, 2, 2) and r.price_ratio_to_customer_mean == pytest.approx(20 / 15) and r.text_cosine_similarity == pytest.approx(0.5**0.5)
-    assert tuple(got["c3", "a1"])[3:] == (0, None, 0, 0, 0, None, 0.0)
-    assert got["c1", "a3"].text_cosine_similarity == 0.0
+    asked = [("mia", "boot"), ("mia", "sock"), ("mia", "lace"), ("otto", "clog")]
+    pairs = spark.createDataFrame([(WS, *p) for p in asked], "window_start date, customer_id string, article_id string")
+    found = features.pair_features(pairs, tx, articles, who, what, vectors, features.recent_text_mean(tx, vectors, [WS]), [WS])
+    got = {(r.customer_id, r.article_id): tuple(r[c] for c in features.PAIR) for r in found.collect()}
+    mean = [2.0, 2 / 3, 8 / 3]  # of two boots and a clog
+    near = (3 * mean[0] + 4 * mean[2]) / (5 * sum(x * x for x in mean) ** 0.5)
+    assert got["mia", "boot"] == (2, 5, 2, 3, 2, pytest.approx(30 / 42), pytest.approx(near))
+    assert got["mia", "sock"] == (0, None, 0, 0, 2, None, 0.0) and got["mia", "lace"] == (0, None, 0, 0, 0, None, 0.0)
+    assert got["otto", "clog"] == (0, None, 0, 0, 0, None, 0.0)
 
 
 def test_recent_text_ranks_before_it_drops(spark):
-    tx = tx_of(spark, [(D(9, d), "c1", a, 1, 1) for d, a in ((14, "none"), (13, "a1"), (12, "a2"))])
-    vectors = spark.createDataFrame([("a1", [1.0] * 32), ("a2", [3.0] * 32)], "article_id string, vector array<double>")
-    assert features.recent_text_mean(tx, vectors, [WS], 2).first().recent_vector == [1.0] * 32
+    tx = tx_of(spark, [(WS - datetime.timedelta(days=n), "mia", shoe, 1, 1) for n, shoe in ((1, "unknown"), (2, "clog"), (4, "boot"), (4, "clog"))])
+    vectors = spark.createDataFrame([("boot", [8.0, 1.0]), ("clog", [2.0, 5.0])], "article_id string, vector array<double>")
+    mean = lambda n: features.recent_text_mean(tx, vectors, [WS], n).first().recent_vector
+    assert (mean(2), mean(3), mean(4)) == ([2.0, 5.0], [5.0, 3.0], [4.0, pytest.approx(11 / 3)])
+    assert features.recent_text_mean(tx, vectors, [WS], 1).count() == 0
 
 
 def test_provenance_does_not_read_the_label(spark):
@@ -156,39 +209,56 @@ def keyed(spark, rows, more="rank_position long"):
 
 
 def test_average_precision(spark):
-    predictions = keyed(spark, [("c1", "a1", 1), ("c1", "a4", 2), ("c1", "a2", 3), ("c2", "a9", 1), ("c2", "a5", 2)])
-    actual = keyed(spark, [("c1", "a1"), ("c1", "a2"), ("c1", "a3"), ("c2", "a5")], "")
-    got = evaluate.mean_ap(evaluate.ap_per_customer(predictions, actual)).first()
-    assert got["n_purchasers"] == 2 and got["map"] == pytest.approx(((1 + 2 / 3) / 3 + 1 / 2) / 2)
-    half = evaluate.mean_ap(evaluate.ap_per_customer(keyed(spark, [("c1", "a1", 1)]), keyed(spark, [("c1", "a1"), ("c2", "a5")], ""))).first()
-    assert (half["map"], half["n_purchasers"]) == (0.5, 2)
+    ranked = keyed(spark, [("ann", "x", 1), ("ann", "p", 2), ("ann", "q", 4), ("bob", "p", 1), ("eli", "z", 1)])
+    actual = keyed(spark, [("ann", "p"), ("ann", "q"), ("ann", "r"), ("ann", "s"), ("bob", "p"), ("cat", "q")], "")
+    got = {r.customer_id: r.ap for r in evaluate.ap_per_customer(ranked, actual).collect()}
+    assert got == {"ann": pytest.approx((1 / 2 + 2 / 4) / 4), "bob": 1.0, "cat": 0.0}  # eli bought nothing
+    mean = evaluate.mean_ap(evaluate.ap_per_customer(ranked, actual)).first()
+    assert (mean["map"], mean["n_purchasers"]) == (pytest.approx(1.25 / 3), 3)
+    many = keyed(spark, [("ann", f"m{k:02d}") for k in range(20)], "")
+    full = keyed(spark, [("ann", f"m{k:02d}", k + 1) for k in range(12)])
+    assert evaluate.mean_ap(evaluate.ap_per_customer(full, many)).first()["map"] == 1.0  # twelve of twenty is all there can be
     with pytest.raises(ValueError, match="12"):
-        evaluate.check_ranks(keyed(spark, [("c1", "a1", 13)]))
+        evaluate.check_ranks(keyed(spark, [("ann", "x", 20)]))
 
 
 def test_oracle(spark):
-    actual = keyed(spark, [("c1", "a1"), ("c1", "a2"), ("c1", "a3"), ("c2", "a5")], "")
-    pool = keyed(spark, [("c1", "a1"), ("c1", "a2"), ("c2", "a5")], "")
-    assert evaluate.mean_ap(evaluate.oracle_ap(pool, actual)).first()["map"] == pytest.approx((2 / 3 + 1) / 2)
+    actual = keyed(spark, [("ann", "p"), ("ann", "q"), ("ann", "r"), ("ann", "s"), ("bob", "p"), ("cat", "q")], "")
+    pool = keyed(spark, [("ann", "s"), ("ann", "x"), ("bob", "p"), ("bob", "q")], "")
+    assert evaluate.mean_ap(evaluate.oracle_ap(pool, actual)).first()["map"] == pytest.approx((1 / 4 + 1 + 0) / 3)
 
 
 def test_recall_counts_distinct_pairs_and_refuses_more_than_k(spark):
-    pool = keyed(spark, [("c1", "a1"), ("c1", "a1"), ("c1", "a2")], "")
-    got = evaluate.recall_hits(pool, keyed(spark, [("c1", "a1"), ("c1", "a9"), ("c2", "a1")], "")).first()
-    assert (got.hits, got.total) == (1, 3)
+    pool = keyed(spark, [("ann", "p"), ("ann", "p"), ("ann", "q"), ("bob", "r")], "")
+    actual = keyed(spark, [("ann", "q"), ("ann", "t"), ("bob", "r"), ("bob", "p"), ("cat", "p")], "")
+    got = evaluate.recall_hits(pool, actual).first()
+    assert (got.hits, got.total) == (2, 5)
     with pytest.raises(ValueError, match="more than 1"):
         evaluate.recall_at_k(pool, pool, 1)
 
 
 def test_recall_report_sums(shop):
     tx, articles, customers = shop
-    later = tx.union(tx_of(tx.sparkSession, [(D(9, 17), "c1", "a1", 1, 1), (D(9, 18), "c7", "a5", 1, 1)]))
+    later = tx.unionByName(tx_of(tx.sparkSession, [(D(9, 18), "ben", "novel-3", 1, 1), (D(9, 20), "ida", "essay", 1, 1), (D(9, 22), "gus", "comic", 1, 1), (D(9, 23), "gus", "poems", 1, 1)]))
     pool = candidates.pooled(candidates.strategies(tx, articles, customers, [WS]))
     rows = evaluate.recall_report(pool, periods.actual_purchases(later, [WS]), evaluate.recency(tx, customers, [WS])).collect()
     whole = next(r for r in rows if r.scope == "pool")
-    assert (whole.hits, whole.total) == (1, 2)
-    assert sum(r.total for r in rows if r.scope == "recency") == 2 and sum(r.hits for r in rows if r.scope == "recency") == 1
-    assert all(m.hits <= s.hits for m in rows if m.scope == "marginal" for s in rows if s.scope == "strategy" and s.name == m.name)
+    assert (whole.hits, whole.total) == (2, 3)
+    by_recency = [r for r in rows if r.scope == "recency"]
+    assert (sum(r.hits for r in by_recency), sum(r.total for r in by_recency)) == (2, 3)
+    alone = {r.name: r.hits for r in rows if r.scope == "strategy"}
+    assert alone["colour_variant"] == 1 and alone["repurchase"] == 1 and all(r.hits <= alone[r.name] for r in rows if r.scope == "marginal")
+
+
+def test_percentiles_are_linear(spark):
+    import numpy as np
+
+    random.seed(13)
+    values = {"many": [random.gauss(0, 5) for _ in range(4001)], "ties": [random.randrange(4) for _ in range(999)], "two": [1.0, 4.0], "one": [7.0], "none": [None, None]}
+    rows = spark.createDataFrame([(g, None if v is None else float(v)) for g, vs in values.items() for v in [*vs, None]], "g string, v double").repartition(5)
+    points = (0.0, 0.01, 0.25, 0.5, 0.999, 1.0)
+    got = {(r.g, r.k): r.value for r in percentiles(rows, "g", "v", points).collect()}
+    assert got == {(g, k): pytest.approx(np.quantile(vs, p)) for g, vs in values.items() if g != "none" for k, p in enumerate(points)}
 
 
 def test_global_rank_is_a_total_order(spark):
@@ -278,6 +348,12 @@ def test_store_and_lookup(spark):
     assert sorted(store.random_customers(served, 2, 1)) == ["c1", "c2"]
     with pytest.raises(RuntimeError):
         store.random_customers(served, 3, 1)
+    some = spark.createDataFrame([("c1",)], "customer_id string")
+    sample = served.where("customer_id = 'c1'")
+    assert store.require_same_answers(sample, served, some).count() == 12
+    for bad, message in ((sample.where("rank < 12"), "differently"), (served, "has 12 rows|differently"), (sample.limit(0), "None rows"), (sample.unionByName(sample), "24 rows")):
+        with pytest.raises(RuntimeError, match=message):
+            store.require_same_answers(bad, served, some)
 
 
 def test_samples_of_buckets(spark):
@@ -309,6 +385,33 @@ def test_training_is_the_same_twice_and_counts_trees(spark):
     assert histogram.agg(F.sum("n")).first()[0] == 210
 
 
+def test_the_ranker_orders_within_customers(spark):
+    random.seed(17)
+    cols = "window_start date, customer_id string, article_id string, best_rank double, n_strategies double, label int"
+    rows = []
+    for k in range(60):
+        level = random.uniform(-50, 50)  # tells customers apart, not their candidates
+        draws = [random.random() for _ in range(6)]
+        rows += [(D(8, 5 + 7 * (k % 3)), f"c{k}", f"a{j}", level + x, x, int(x == max(draws))) for j, x in enumerate(draws)]
+    df = spark.createDataFrame(rows, cols).withColumns({c: F.lit(None).cast("string") for c in features.CATEGORICAL})
+    names = ["best_rank", "n_strategies"]
+    got = models.train_ranker(df, 5, features=names)
+    assert got.losses == sorted(got.losses, reverse=True) and got.model.getNumTrees == 5 and got.losses[0] < math.log(6)
+    table = models.scored(got, df, "ranker_score", names)
+    chances = [r.label for r in models.score_order(table).where("rank_position = 1").collect()]
+    assert sum(chances) > 0.5 * len(chances)
+    some = table.where("article_id < 'a3'").withColumn("ranker_score", F.lit(9.0).cast("float"))
+    mixed = models.scored_missing(got, df, some, "ranker_score", names).collect()
+    assert len(mixed) == 360 and sum(r.ranker_score == 9.0 for r in mixed) == 180
+
+
+def test_the_probe_ends_when_the_loss_stays(spark):
+    df = spark.createDataFrame([(D(8, 5 + 7 * (k % 2)), f"c{k // 4}", f"a{k}", float(random.random()), int(k % 4 == 0)) for k in range(80)], "window_start date, customer_id string, article_id string, best_rank double, label int")
+    ready = models._vector(df, ["best_rank"]).select(*candidates.KEYS, F.col("label").cast("double").alias("label"), "features")
+    trees, losses = models._boosted(ready.where("window_start = '2020-08-05'"), 30, 1, ready.where("window_start = '2020-08-12'"), patience=1)
+    assert len(trees) == len(losses) < 30 and losses.index(min(losses)) == len(losses) - 3 or len(losses) <= 2
+
+
 def test_text_vectors(spark):
     df = spark.createDataFrame([("a1", "red blue shirt"), ("a2", "red green trousers"), ("a3", None), ("a4", ""), ("a5", "blue hat and scarf")], "article_id string, detail_desc string")
     got = {r.article_id: r for r in text.article_vectors(df, 2).collect()}
