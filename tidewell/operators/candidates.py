@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.columns import age_bucket
 from tidewell.functions.frames import Start, in_windows, per_window, top_k
 
+#: Names of the strategies, their caps, horizons in days, and allocations that are compared.
 STRATEGIES = ("repurchase", "colour_variant", "recent_popularity", "segment_popularity", "als")
 #: Most candidates of each strategy, in that order, and of the pool.
 CAPS = dict(zip(STRATEGIES, (30, 30, 20, 20, 30), strict=True))

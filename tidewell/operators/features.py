@@ -17,13 +17,13 @@ RECENT = 10
 #: About how many bytes a row of the article block takes besides its vector.
 ARTICLE_ROW = 300
 
+#: Names and order of the model's columns.
 CUSTOMER_COUNTS = ["txn_count_total", "distinct_article_count_total", *[f"{c}_{w}" for w, _ in TRAILING for c in ("txn_count", "distinct_article_count")]]
 CATEGORICAL = ["club_member_status", "fashion_news_frequency", "age_bucket", "product_type_name", "department_name", "index_group_name", "garment_group_name"]
 PAIR = ["prior_purchase_count_this_article", "days_since_last_purchase_this_article", "prior_purchase_count_same_product_code", "prior_purchase_count_same_colour", "prior_purchase_count_same_department", "price_ratio_to_customer_mean", "text_cosine_similarity"]
 PROVENANCE = ["n_strategies", "best_rank", *[f"rank_{s}" for s in STRATEGIES], *[f"from_{s}" for s in STRATEGIES]]
 CUSTOMER = ["club_member_status", "fashion_news_frequency", "age_bucket", "txn_count_total", "distinct_article_count_total", "mean_purchase_price", "std_purchase_price", "share_sales_channel_1", "share_sales_channel_2", *CUSTOMER_COUNTS[2:], "days_since_last_purchase"]
 ARTICLE = ["product_type_name", "department_name", "index_group_name", "garment_group_name", "article_mean_price", "distinct_buyers_total", "purchase_count_1w", "purchase_count_4w", "purchase_count_12w", "purchase_count_wow_trend", "days_since_first_sale", "days_since_last_sale"]
-#: The model's columns, in order.
 FEATURES = [*PAIR, *PROVENANCE, *CUSTOMER, *ARTICLE]
 
 

@@ -10,6 +10,7 @@ from tidewell.functions.frames import Start, percentiles, top_k
 from tidewell.operators.calibrate import in_fit
 from tidewell.sources.shared import written
 
+#: Margin, cost multiplier and days that rows look back.
 MARGIN, COST_MULTIPLIER = 0.5, 0.001
 SOLD_DAYS, BOUGHT_DAYS, PRICE_DAYS = 7, 14, 28
 #: The sensitivity grid, as exact fractions of 10 and of 10,000.
