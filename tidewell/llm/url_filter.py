@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.llm.common import written
+
 #: Days of a period of the join, and salts by which captures of a host are dealt.
 PERIOD, SALTS = 32, 8
 #: A host and day with over this part of all rows is decided by a broadcast.
@@ -81,7 +83,7 @@ def evaluate(captures: DataFrame, entries: DataFrame, period: int = PERIOD, salt
     # what is asked depends on host and day alone, so captures are counted before the join
     rows = rows.withColumn("host", host_of(F.col("url")))
     asked = rows.where("host IS NOT NULL AND fetched_on IS NOT NULL").groupBy("host", "fetched_on").agg(F.count("*").alias("n"))
-    left = asked.select("host", "fetched_on", F.explode(patterns_of(F.col("host"))).alias("pattern"), F.floor(_day(F.col("fetched_on")) / period).alias("period"), F.pmod(F.xxhash64("host", "fetched_on"), F.lit(salts)).alias("salt"))
+    left = asked.select("host", "fetched_on", "n", F.explode(patterns_of(F.col("host"))).alias("pattern"), F.floor(_day(F.col("fetched_on")) / period).alias("period"), F.pmod(F.xxhash64("host", "fetched_on"), F.lit(salts)).alias("salt"))
     # an interval that still holds reaches to the last day asked for
     first_day, last_day, n_rows = asked.agg(F.min("fetched_on"), F.max("fetched_on"), F.sum("n")).first()
     low, high = F.lit(first_day).cast("date"), F.lit(last_day).cast("date")
@@ -91,8 +93,7 @@ def evaluate(captures: DataFrame, entries: DataFrame, period: int = PERIOD, salt
     right = right.select("pattern", "action", "valid_from", "valid_to", F.explode(F.sequence(first, last)).alias("period"))
     right = right.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"))
     met = left.join(right, ["pattern", "period", "salt"]).where((F.col("valid_from") <= F.col("fetched_on")) & (F.col("valid_to").isNull() | (F.col("fetched_on") < F.col("valid_to"))))
-    best = met.groupBy("host", "fetched_on").agg(F.max_by(F.struct("pattern", "valid_from", "action"), F.length("pattern")).alias("b"))
-    verdict = best.join(asked, ["host", "fetched_on"]).select("host", "fetched_on", "n", "b")
+    verdict = written(met.groupBy("host", "fetched_on").agg(F.max_by(F.struct("pattern", "valid_from", "action"), F.length("pattern")).alias("b"), F.max("n").alias("n")), "verdicts")
     # a host and day with more than a HOT-th of all rows: fewer than HOT of them, so they are broadcast and their rows stay where they are
     hot = F.col("n") > (n_rows or 0) / HOT
     common = F.broadcast(verdict.where(hot).select("host", "fetched_on", F.col("b").alias("common")))
