@@ -7,6 +7,7 @@ so a flow can be resumed at a stage and survives lost executors.
 from __future__ import annotations
 
 import datetime
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators import als, calibrate, candidates, drift, evaluate, features, models, offers, periods, store
+from tidewell.sources import report
 from tidewell.sources.publish import assert_exact, read_manifest, require_pinned, write_manifest
 from tidewell.sources.retail import Retail
 
@@ -33,13 +35,16 @@ class Settings:
 
 
 class Folder:
-    """Stage tables of a flow."""
+    """Stage tables of a flow, and the wall time of each."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self.seconds: dict[str, float] = {}
 
     def stage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        began = time.monotonic()
         build().write.mode("overwrite").parquet(f"{self.path}/{name}")
+        self.seconds[name] = round(time.monotonic() - began, 3)
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:
@@ -94,7 +99,7 @@ def train_flow(r: Retail, path: str, anchor: datetime.date, settings: Settings =
     manifest = {
         "anchor": str(anchor), "model_id": uuid.uuid4().hex, "trees": {"ranker": ranker.model.getNumTrees, "classifier": classifier.model.getNumTrees}, "rows": {n: folder.read(n).count() for n in ("train_pool", "validation_pool", "matrix", "scored")},
         "recall": _metrics(evaluate.recall_report(valid_pool, actual, buckets)), "orderings": _metrics(evaluate.orderings(named, buckets)),
-        "brier": {"raw": _metrics(calibrate.brier_table(judged, "raw_prob")), "calibrated": _metrics(calibrate.brier_table(judged))},
+        "brier": {"raw": _metrics(calibrate.brier_table(judged, "raw_prob")), "calibrated": _metrics(calibrate.brier_table(judged))}, "seconds": folder.seconds,
     }
     write_manifest(spark, f"{folder.path}/_manifest.json", manifest)
     return manifest
@@ -134,7 +139,7 @@ def batch_score_flow(r: Retail, model_path: str, path: str, date: datetime.date,
         assert_exact(served, n)
     if table:
         store.save(served, table)
-    manifest = {"date": str(date), "model": of_model["anchor"], "model_id": of_model["model_id"], "rows": {x: folder.read(x).count() for x in ("pool", "top12", "offers", "served")}, "coverage": _metrics(offers.coverage(selected, r.customers))}
+    manifest = {"date": str(date), "model": of_model["anchor"], "model_id": of_model["model_id"], "rows": {x: folder.read(x).count() for x in ("pool", "top12", "offers", "served")}, "coverage": _metrics(offers.coverage(selected, r.customers)), "seconds": folder.seconds}
     write_manifest(spark, f"{folder.path}/_manifest.json", manifest)
     return manifest
 
@@ -145,7 +150,15 @@ def load_store(spark: SparkSession, path: str, pinned: str | None = None) -> Dat
     return Folder(spark, path).read("served")
 
 
-def drift_gate(reference: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str], least: int = drift.LEAST_ROWS) -> dict:
-    """The verdict on two samples; only a matched comparison should gate."""
+def drift_gate(reference: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str], least: int = drift.LEAST_ROWS, report_path: str | None = None) -> dict:
+    """The verdict on two samples; only a matched comparison should gate. ``report_path`` gets both tables as Markdown or HTML."""
     table = drift.psi(reference, current, numeric, categorical)
-    return drift.decide(table, reference.count(), current.count(), least).first().asDict()
+    decided = drift.decide(table, reference.count(), current.count(), least)
+    if report_path:
+        report.save(reference.sparkSession, report_path, "Drift", {"Verdict": decided, "Columns": table})
+    return decided.first().asDict()
+
+
+def sweep_report(pools: dict[str, DataFrame], actual: DataFrame, buckets: DataFrame, path: str) -> None:
+    """Recall of the pool of each allocation of caps, one table each, as Markdown or HTML."""
+    report.save(actual.sparkSession, path, "Allocations of caps", {name: evaluate.recall_report(pool, actual, buckets) for name, pool in pools.items()})

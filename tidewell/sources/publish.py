@@ -64,14 +64,19 @@ def publish_csv(spark: SparkSession, sources: dict[str, tuple[str, Contract]], t
         fs.delete(place, True)
 
 
-def write_manifest(spark: SparkSession, path: str, content: dict) -> None:
-    """One JSON document beside a table."""
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One UTF-8 file, replaced if it is there."""
     place, fs = _fs(spark, path)
     out = fs.create(place, True)
-    out.write(bytearray(json.dumps(content, sort_keys=True).encode()))
+    out.write(bytearray(text.encode()))
     out.close()
 
 
+def write_manifest(spark: SparkSession, path: str, content: dict) -> None:
+    """One JSON document beside a table."""
+    write_text(spark, path, json.dumps(content, sort_keys=True))
+
+
 def read_manifest(spark: SparkSession, path: str) -> dict:
     place, fs = _fs(spark, path)
     stream = fs.open(place)
@@ -105,4 +110,4 @@ def assert_exact(top12: DataFrame, n_customers: int, k: int = 12) -> None:
         raise RuntimeError(f"expected {k} rows for {n_customers} customers, found {got['least']} to {got['most']} for {got['c']}")
 
 
-__all__ = ["assert_exact", "assert_rows_match", "open_published", "pin", "publish_csv", "read_manifest", "recover", "require_pinned", "schema_of", "write_manifest"]
+__all__ = ["assert_exact", "assert_rows_match", "open_published", "pin", "publish_csv", "read_manifest", "recover", "require_pinned", "schema_of", "write_manifest", "write_text"]
