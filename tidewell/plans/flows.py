@@ -21,6 +21,7 @@ from tidewell.operators import als, calibrate, candidates, drift, evaluate, feat
 from tidewell.sources import report
 from tidewell.sources.publish import assert_exact, read_manifest, require_pinned, write_manifest
 from tidewell.sources.retail import Retail
+from tidewell.sources.shared import written
 
 
 @dataclass(frozen=True)
@@ -152,7 +153,7 @@ def load_store(spark: SparkSession, path: str, pinned: str | None = None) -> Dat
 
 def drift_gate(reference: DataFrame, current: DataFrame, numeric: list[str], categorical: list[str], least: int = drift.LEAST_ROWS, report_path: str | None = None) -> dict:
     """The verdict on two samples; only a matched comparison should gate. ``report_path`` gets both tables as Markdown or HTML."""
-    table = drift.psi(reference, current, numeric, categorical)
+    table = written(drift.psi(reference, current, numeric, categorical), "psi")  # read for the verdict and the report
     decided = drift.decide(table, reference.count(), current.count(), least)
     if report_path:
         report.save(reference.sparkSession, report_path, "Drift", {"Verdict": decided, "Columns": table})
