@@ -49,13 +49,13 @@ def psi(reference: DataFrame, current: DataFrame, numeric: Sequence[str], catego
 
     Numbers fall into bins at the reference's deciles (equal deciles are one
     bin, null is a bin), categories into themselves; shares are floored. Each
-    side is evaluated once, into a table.
+    side is evaluated once, into a table, and so are the edges.
     """
     parts, columns = [], [*numeric, *categorical]
     reference, current = written(reference.select(*columns), "reference"), written(current.select(*columns), "current")
     if numeric:
         points = percentiles(_long(reference, numeric, True), "column_name", "value", [k / BINS for k in range(1, BINS)])
-        edges = points.groupBy("column_name").agg(F.array_sort(F.collect_set("value")).alias("edges"))
+        edges = written(points.groupBy("column_name").agg(F.array_sort(F.collect_set("value")).alias("edges")), "edges")  # both sides read them
         binned = lambda df: _long(df, numeric, True).join(F.broadcast(edges), "column_name", "left").select("column_name", F.when(F.col("value").isNull(), "null").otherwise(F.size(F.filter(F.coalesce("edges", F.array().cast("array<double>")), lambda e: e < F.col("value"))).cast("string")).alias("bin"))
         parts.append((binned(reference), binned(current)))
     if categorical:
