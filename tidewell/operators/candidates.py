@@ -117,11 +117,12 @@ def pooled(frames: Mapping[str, DataFrame] | DataFrame, cap: int | None = POOL_C
     every = frames if isinstance(frames, DataFrame) else union_of(frames)
     # dealt by customer once; grouping by pair and ranking by customer both keep that partitioning
     merged = every.repartition(*KEYS).groupBy(*KEYS, "article_id").agg(
-        F.array_sort(F.collect_set("strategy")).alias("strategies"),
         F.min("rank").alias("best_rank"),
         *[F.min(F.when(F.col("strategy") == s, F.col("rank"))).alias(f"rank_{s}") for s in STRATEGIES],
     )
-    merged = merged.withColumn("n_strategies", F.size("strategies").cast("long"))
+    # a strategy proposed the pair if it has a rank; collecting names would leave hash aggregation
+    names = F.array_compact(F.array(*[F.when(F.col(f"rank_{s}").isNotNull(), s) for s in sorted(STRATEGIES)]))
+    merged = merged.withColumn("strategies", names).withColumn("n_strategies", F.size("strategies").cast("long"))
     out = top_k(merged, KEYS, [F.desc("n_strategies"), F.col("best_rank"), F.col("article_id")], cap, "pool_rank")
     return out.select(*KEYS, "article_id", "strategies", "n_strategies", "best_rank", *[f"rank_{s}" for s in STRATEGIES])
 
