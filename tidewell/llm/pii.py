@@ -270,11 +270,12 @@ def _listed(spans: Column) -> Column:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """The contract's columns of ``find``."""
+    """The contract's columns of ``find``, and the numbers of added and of all spans."""
     count = lambda n: F.size(F.filter("spans", lambda s: s["kind"] == n)).cast("long")
     return found.select(
         "doc_id", *[count(n).alias(f"n_{k}") for n, k in enumerate(KINDS)],
         F.sha2(_listed(F.col("spans")), 256).alias("base_sha256"), _listed(F.concat("spans", "added")).alias("spans"),
+        F.size("added").cast("long").alias("n_added"), (F.size("spans") + F.size("added")).cast("long").alias("n_spans"),
     )
 
 
