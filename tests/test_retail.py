@@ -439,6 +439,15 @@ def test_the_probe_ends_when_the_loss_stays(spark):
     assert len(trees) == len(losses) < 30 and losses.index(min(losses)) == len(losses) - 3 or len(losses) <= 2
 
 
+def test_the_ranker_keeps_no_plan_in_another(spark, monkeypatch):
+    df = spark.createDataFrame([(D(8, 5), f"c{k // 4}", f"a{k}", float(k % 5), int(k % 4 == 0)) for k in range(40)], "window_start date, customer_id string, article_id string, best_rank double, label int")
+    ready = models._vector(df, ["best_rank"]).select(*candidates.KEYS, F.col("label").cast("double").alias("label"), "features")
+    held, real = [], models.DecisionTreeRegressor.fit
+    monkeypatch.setattr(models.DecisionTreeRegressor, "fit", lambda self, rows: held.append(rows._jdf.queryExecution().optimizedPlan().toString().count("InMemoryRelation")) or real(self, rows))
+    trees, _ = models._boosted(ready, 6, 1)
+    assert len(trees) == 6 and max(held) <= held[1]  # the second is the first with scores of a tree
+
+
 def test_text_vectors(spark):
     df = spark.createDataFrame([("a1", "red blue shirt"), ("a2", "red green trousers"), ("a3", None), ("a4", ""), ("a5", "blue hat and scarf")], "article_id string, detail_desc string")
     got = {r.article_id: r for r in text.article_vectors(df, 2).collect()}
