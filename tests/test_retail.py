@@ -448,6 +448,19 @@ def test_the_ranker_keeps_no_plan_in_another(spark, monkeypatch):
     assert len(trees) == 6 and max(held) <= held[1]  # the second is the first with scores of a tree
 
 
+def test_als_asks_for_some_customers_at_a_time(spark, monkeypatch):
+    from tidewell.operators import als
+
+    tx = tx_of(spark, [(D(8, 1), f"c{k:02d}", f"a{(k * 7 + j) % 30:02d}", 1, 1) for k in range(20) for j in range(1 + k % 4)])
+    fitted = als.fit(tx, WS, 4, 2)
+    assert fitted.bought.inputFiles()  # a table, so nothing counts the purchases again
+    whole = als.recommend(fitted, WS, 5).collect()
+    asked, real = [], type(fitted.model).recommendForUserSubset
+    monkeypatch.setattr(als, "ASKED", 4)
+    monkeypatch.setattr(type(fitted.model), "recommendForUserSubset", lambda self, users, n: asked.append(users.count()) or real(self, users, n))
+    assert sorted(als.recommend(fitted, WS, 5).collect()) == sorted(whole) and sum(asked) == 20 and len(asked) > 4
+
+
 def test_text_vectors(spark):
     df = spark.createDataFrame([("a1", "red blue shirt"), ("a2", "red green trousers"), ("a3", None), ("a4", ""), ("a5", "blue hat and scarf")], "article_id string, detail_desc string")
     got = {r.article_id: r for r in text.article_vectors(df, 2).collect()}
