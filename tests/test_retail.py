@@ -195,6 +195,36 @@ def test_the_training_matrix_makes_blocks_of_what_its_pairs_meet(detail, spark,
     assert len(got) == 1 and [got[0][c] for c in features.FEATURES] == [whole[0][c] for c in features.FEATURES]
 
 
+def test_features_in_slices_of_customers_are_the_same(detail, spark, monkeypatch):
+    tx, articles, customers, vectors = detail
+    ranks = ", ".join(f"rank_{s} long" for s in candidates.STRATEGIES)
+    starts = [WS, WS - datetime.timedelta(days=7)]
+    rows = [(ws, who, what, ["als"], 1, 1, None, None, None, None, 1) for ws in starts for who in ("noa", "mia", "otto", "new", None) for what in ("boot", "lace", "new", "clog")]
+    pairs = spark.createDataFrame(rows, f"window_start date, customer_id string, article_id string, strategies array<string>, n_strategies long, best_rank long, {ranks}")
+    whole = features.build(pairs, tx, articles, customers, vectors, starts)
+    asked, real = [], features._blocks
+    monkeypatch.setattr(features, "SLICE", 2)
+    monkeypatch.setattr(features, "_blocks", lambda few, *a, **k: asked.append(few.count()) or real(few, *a, **k))
+    got = features.build(pairs, tx, articles, customers, vectors, starts)
+    assert sum(asked) == 40 > max(asked) and len(asked) == 3
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect())) and got.columns == whole.columns
+
+
+def test_pairs_of_one_window_are_dealt_to_customers_once(detail, spark):
+    tx, articles, customers, vectors = detail
+    ranks = ", ".join(f"rank_{s} long" for s in candidates.STRATEGIES)
+    pairs = spark.createDataFrame([(WS, "mia", "boot", ["als"], 1, 1, None, None, None, None, 1)], f"window_start date, customer_id string, article_id string, strategies array<string>, n_strategies long, best_rank long, {ranks}")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = features.build(pairs, tx, articles, customers, vectors, [WS])._jdf.queryExecution().executedPlan()
+        dealt = plan.toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    at = next(k for k, x in enumerate(dealt) if "REPARTITION_BY_COL" in x)
+    assert not [x for x in dealt[:at] if "Exchange" in x]  # none above it, around the joins with what belongs to customers
+
+
 def test_categories_are_those_of_the_matrix(detail, spark):
     tx, articles, customers, vectors = detail
     ranks = ", ".join(f"rank_{s} long" for s in candidates.STRATEGIES)
