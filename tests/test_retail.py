@@ -545,3 +545,27 @@ def test_contracts(spark):
     twice = spark.createDataFrame([("c" * 64, "a")] * 2, "customer_id string, prediction string")
     with pytest.raises(ValueError, match="unique"):
         contracts.validated(twice, contracts.SAMPLE_SUBMISSION)
+
+
+def test_one_task_grows_the_trees_that_spark_grows(spark):
+    """Values that fit the bins and values that don't, weights, zeros, and a constant feature."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    from tidewell.operators import trees
+
+    random.seed(11)
+    draws = [(random.choice([0.0, random.gauss(0, 1)]), float(random.randrange(6)), 7.0, random.random()) for _ in range(900)]
+    rows = [(k, Vectors.dense(d), float(random.random() < 1 / (1 + math.exp(-d[0] * d[1]))), d[3] + 1e-3, d[0] ** 2 + d[1] + d[3]) for k, d in enumerate(draws)]
+    df = spark.createDataFrame(rows, ["id", "features", "label", "curve", "step"])
+    df = df.repartition(1).persist()
+    jobs, tracker = [], spark.sparkContext.statusTracker()
+    for one, own, out, more in ((trees.OneTaskTree, DecisionTreeRegressor, F.col("prediction"), {"labelCol": "step", "weightCol": "curve"}), (trees.OneTaskBooster, GBTClassifier, models.vector_to_array("probability")[1], {"maxIter": 12, "stepSize": 0.05})):
+        spark.sparkContext.setJobGroup(one.__name__, one.__name__)
+        fitted = one(maxDepth=5, maxBins=64, seed=1, **more).fit(df)
+        jobs.append(len(tracker.getJobIdsForGroup(one.__name__)))
+        spark.sparkContext.setJobGroup("other", "other")
+        a, b = ([r[0] for r in m.transform(df).orderBy("id").select(out.cast("double")).collect()] for m in (fitted, own(maxDepth=5, maxBins=64, seed=1, **more).fit(df)))
+        assert a == pytest.approx(b, abs=1e-9) and len(set(a)) > 10
+    assert max(jobs) <= 3  # Spark has seven a tree
