@@ -569,3 +569,13 @@ def test_one_task_grows_the_trees_that_spark_grows(spark):
         a, b = ([r[0] for r in m.transform(df).orderBy("id").select(out.cast("double")).collect()] for m in (fitted, own(maxDepth=5, maxBins=64, seed=1, **more).fit(df)))
         assert a == pytest.approx(b, abs=1e-9) and len(set(a)) > 10
     assert max(jobs) <= 3  # Spark has seven a tree
+
+
+def test_the_classifier_of_few_rows_takes_few_jobs(spark):
+    rows = [(D(8, 5 + 7 * (k % 3)), f"c{k}", "a", float(k % 7), int(k % 7 > 3)) for k in range(210)]
+    df = spark.createDataFrame(rows, "window_start date, customer_id string, article_id string, best_rank double, label int").withColumns({c: F.lit(None).cast("string") for c in features.CATEGORICAL})
+    spark.sparkContext.setJobGroup("few", "few")
+    got = models.train(df, 20, features=["best_rank"])
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("few"))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert len(got.losses) == 20 and jobs < 40  # Spark has over five a tree
