@@ -579,3 +579,23 @@ def test_the_classifier_of_few_rows_takes_few_jobs(spark):
     jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("few"))
     spark.sparkContext.setJobGroup("other", "other")
     assert len(got.losses) == 20 and jobs < 40  # Spark has over five a tree
+
+
+def test_als_has_few_blocks_and_its_rounds_are_cleaned(spark, monkeypatch):
+    import time
+
+    from pyspark.ml.recommendation import ALS
+
+    from tidewell.operators import als
+    from tidewell.sources import shared
+
+    tx = tx_of(spark, [(D(8, 1), f"c{k:02d}", f"a{(k * 7 + j) % 30:02d}", 1, 1) for k in range(20) for j in range(1 + k % 4)])
+    asked, collected, real = [], [], ALS.fit
+    monkeypatch.setattr(ALS, "fit", lambda self, df: asked.append((self.getNumUserBlocks(), self.getNumItemBlocks())) or time.sleep(1) or real(self, df))
+    monkeypatch.setattr(als, "COLLECT", 0.1)
+    monkeypatch.setattr(shared, "collect_garbage", lambda s: collected.append(1))
+    fitted = als.fit(tx, WS, 4, 2)
+    n = fitted.bought.count()
+    monkeypatch.setattr(als, "COUNTS", n // 7)
+    als.fit(tx, WS, 4, 2)
+    assert asked == [(4, 4), (-(-n // (n // 7)),) * 2] and len(collected) > 4 and fitted.model.getBlockSize() > 4096
