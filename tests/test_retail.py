@@ -114,6 +114,19 @@ def test_windows_together_are_windows_apart(shop):
         assert both.where(F.col("window_start") == F.lit(s)).exceptAll(alone).count() == 0 == alone.exceptAll(both).count()
 
 
+@pytest.mark.parametrize("cap", [100, 3])
+def test_popularity_lists_are_unfolded_after_customers_are_dealt(shop, cap):
+    tx, articles, customers = shop
+    for starts in ([WS], [D(9, 12), WS]):
+        whole = candidates.pooled(candidates.strategies(tx, articles, customers, starts), cap)
+        own = {"repurchase": candidates.repurchases(tx, starts), "colour_variant": candidates.colour_variants(tx, articles, starts)}
+        got = candidates.pool(own, candidates.recent_top(tx, starts), candidates.segment_top(tx, customers, starts), customers, starts, cap)
+        assert got.columns == whole.columns and sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
+        plan = got._jdf.queryExecution().executedPlan().toString().splitlines()
+        at = next(k for k, x in enumerate(plan) if "REPARTITION_BY_COL" in x)
+        assert any("Generate inline" in x for x in plan[:at]) and (cap == 3) == any("Window" in x for x in plan[:at])
+
+
 def test_label_windows(spark):
     rows = periods.label_windows(spark, WS).collect()
     assert [(r.window_start, r.window_end) for r in rows] == [(D(8, 19), D(8, 25)), (D(8, 26), D(9, 1)), (D(9, 2), D(9, 8)), (D(9, 9), D(9, 15)), (WS, D(9, 22))]
@@ -225,6 +238,29 @@ def test_pairs_of_one_window_are_dealt_to_customers_once(detail, spark):
     assert not [x for x in dealt[:at] if "Exchange" in x]  # none above it, around the joins with what belongs to customers
 
 
+def test_popular_articles_meet_pairs_after_they_are_dealt_once(detail, spark, monkeypatch):
+    """With articles that aren't broadcast: the same features, no shuffle around the dealing, and popular ones' rows are narrow in it."""
+    from tidewell.functions import frames
+
+    tx, articles, customers, vectors = detail
+    ranks = ", ".join(f"rank_{s} long" for s in candidates.STRATEGIES)
+    rows = [(WS, who, what, ["als"], 1, 1, None, None, None, None, 1) for who in ("noa", "mia", "otto", "new", None) for what in ("boot", "lace", "new", "clog")]
+    pairs = spark.createDataFrame(rows, f"window_start date, customer_id string, article_id string, strategies array<string>, n_strategies long, best_rank long, {ranks}")
+    whole = sorted(map(str, features.build(pairs, tx, articles, customers, vectors, [WS]).collect()))
+    monkeypatch.setattr(frames.join_small, "__defaults__", ("left", 0))
+    monkeypatch.setattr(frames, "HEAVY", 4)  # boots and clogs have over a fourth of the rows, laces and new ones don't
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = features.build(pairs, tx, articles, customers, vectors, [WS])
+        dealt = got._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert sorted(map(str, got.collect())) == whole
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    at = next(k for k, x in enumerate(dealt) if "REPARTITION_BY_COL" in x)
+    assert not [x for x in dealt[:at] if "Exchange" in x] and any("BroadcastHashJoin" in x for x in dealt[:at])
+
+
 def test_categories_are_those_of_the_matrix(detail, spark):
     tx, articles, customers, vectors = detail
     ranks = ", ".join(f"rank_{s} long" for s in candidates.STRATEGIES)
