@@ -11,7 +11,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from tidewell.operators import models
+from tidewell.operators import candidates, features, models
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 ORACLES = __spark_entry__.oracle_sql()
@@ -76,6 +76,19 @@ def test_als_queries_fit_the_full_model(spark, sf_dir, monkeypatch, name, rank,
     assert asked.value.args == (rank, rounds)
 
 
+@pytest.mark.parametrize("name", ["f_backtest"])
+def test_feature_queries_deal_no_popularity_rows(spark, sf_dir, monkeypatch, name):
+    def build(*_):
+        raise Asked("features")
+
+    monkeypatch.setattr(candidates, "pooled", None)  # dealing all strategies' rows would fail
+    monkeypatch.setattr(models, "train_ranker", lambda *_: None)
+    monkeypatch.setattr(features, "training_matrix", lambda *_: None)
+    monkeypatch.setattr(features, "build", build)
+    with pytest.raises(Asked):
+        __spark_entry__.queries()[name](spark, sf_dir)
+
+
 @pytest.mark.parametrize("name, trees, probes", [("m_train", 500, True), ("m_top12", 500, True), ("x_importances", 500, True), ("m_train_backtest", 212, False)])
 def test_ranker_queries_train_the_full_model(spark, sf_dir, monkeypatch, name, trees, probes):
     """The first fit is the probe, judged on the last window; the backtest has no probe."""
