@@ -76,7 +76,7 @@ def test_als_queries_fit_the_full_model(spark, sf_dir, monkeypatch, name, rank,
     assert asked.value.args == (rank, rounds)
 
 
-@pytest.mark.parametrize("name", ["f_backtest"])
+@pytest.mark.parametrize("name", ["f_backtest", "m_top12"])
 def test_feature_queries_deal_no_popularity_rows(spark, sf_dir, monkeypatch, name):
     def build(*_):
         raise Asked("features")
